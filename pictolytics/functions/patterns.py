@@ -43,10 +43,11 @@ EMOJI_PATTERN = (
     rf"|{_UNIT}(?:\x{{200D}}{_UNIT})*"
 )
 
-# Java evaluates a character class range by range, which is slow for the ~150 ranges above.
-# Asking first whether a character lies in one of three spans leaves the result unchanged and
-# makes a pass over plain prose about three times faster.
+# Java evaluates a character class range by range, which is slow for the ~150 ranges above. Two
+# look-aheads, first one span and then three, turn ordinary letters away early. They hold for every
+# character that can start a match, so the result is that of EMOJI_PATTERN, several times faster.
 JVM_EMOJI_PATTERN = (
+    r"(?=[0-9#*\x{A9}-\x{1FAFF}])"
     r"(?=[0-9#*\x{A9}\x{AE}\x{203C}-\x{3299}\x{1F004}-\x{1FAFF}])"
     rf"(?:{EMOJI_PATTERN})"
 )

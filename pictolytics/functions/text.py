@@ -16,8 +16,14 @@ from pictolytics.functions.patterns import (
 
 
 def emoji_tokens(text: Column) -> Column:
-    """All emoji of a text in reading order, as written; null for a null text."""
-    return F.regexp_extract_all(text, F.lit(JVM_EMOJI_PATTERN), F.lit(0))
+    """All emoji of a text in reading order, as written; null for a null text.
+
+    Every emoji has a character outside ASCII, so a text with as many bytes as characters has
+    none. That test reads bytes only; such texts are neither decoded nor searched.
+    """
+    found = F.regexp_extract_all(text, F.lit(JVM_EMOJI_PATTERN), F.lit(0))
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.array().cast("array<string>")).otherwise(found)
 
 
 def strip_presentation(token: Column) -> Column:
@@ -64,8 +70,11 @@ def rule_tags(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Offer the expressions to ``spark.sql`` as SQL functions, which Catalyst inlines."""
+    found = f"regexp_extract_all(t, r'{JVM_EMOJI_PATTERN}', 0)"
     definitions = {
-        "emoji_tokens(t STRING) RETURNS ARRAY<STRING>": f"regexp_extract_all(t, r'{JVM_EMOJI_PATTERN}', 0)",
+        "emoji_tokens(t STRING) RETURNS ARRAY<STRING>": (
+            f"CASE WHEN octet_length(t) = char_length(t) THEN CAST(array() AS ARRAY<STRING>) ELSE {found} END"
+        ),
         "base_emoji(t STRING) RETURNS STRING": f"regexp_replace(t, r'{TONE_PATTERN}', '')",
         "emoji_tone(t STRING) RETURNS STRING": f"regexp_extract(t, r'({TONE_PATTERN})', 1)",
     }

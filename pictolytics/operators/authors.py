@@ -40,7 +40,7 @@ def with_authors(
     hot_share: float = HOT_SHARE,
     few_authors: int = FEW_AUTHORS,
 ) -> DataFrame:
-    """Posts joined with their authors (``inner``), or posts that have one (``left_semi``).
+    """Posts joined with their authors (``inner``, ``left``), or posts that have one (``left_semi``).
 
     ``authors`` has one row per ``user_id``. No more than ``few_authors`` of them, which is
     checked by counting that far, are broadcast. Otherwise both sides are shuffled: authors with
@@ -48,13 +48,15 @@ def with_authors(
     author row repeated once per piece, at the cost of one count over the ``author_id`` column.
     All others keep a single piece.
     """
-    if how not in ("inner", "left_semi"):
+    if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join {how!r}")
     if authors.limit(few_authors + 1).count() <= few_authors:
         return posts.join(F.broadcast(authors), posts["author_id"] == authors["user_id"], how)
 
     hot = _hot_authors(posts, hot_share)
-    piece = F.coalesce(F.pmod(F.xxhash64("tweet_id"), F.col("pieces")), F.lit(0).cast("bigint"))
+    # Posts without an author match nothing; a left join keeps them, dealt like those of a hot author.
+    dealt_over = F.when(F.col("author_id").isNull(), F.lit(round(1 / hot_share))).otherwise(F.col("pieces"))
+    piece = F.coalesce(F.pmod(F.xxhash64("tweet_id"), dealt_over), F.lit(0).cast("bigint"))
     pieces = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("pieces") - 1, F.lit(0).cast("bigint")))
     dealt = (
         posts.join(F.broadcast(hot), posts["author_id"] == hot["hot_id"], "left")

@@ -56,9 +56,10 @@ def distinct_emoji(text: Column, strip: bool = True) -> Column:
     return F.array_distinct(F.transform(found, strip_presentation) if strip else found)
 
 
-def explode_words(posts: DataFrame, text: str = "text") -> DataFrame:
-    """Add a ``word`` column, one row per whitespace-separated word."""
-    return posts.select("*", F.explode(word_tokens(F.col(text))).alias("word"))
+def explode_words(posts: DataFrame, per_post: bool = False, text: str = "text") -> DataFrame:
+    """Add a ``word`` column, one row per whitespace-separated word, or per post and word."""
+    words = word_tokens(F.col(text))
+    return posts.select("*", F.explode(F.array_distinct(words) if per_post else words).alias("word"))
 
 
 def split_tone(tokens: DataFrame, token: str = "emoji") -> DataFrame:

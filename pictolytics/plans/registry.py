@@ -48,8 +48,8 @@ def _emoji(spark: SparkSession, folder: str) -> DataFrame:
     return Q.emoji_of(D.posts(spark, folder))
 
 
-def _words(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return T.explode_words(D.table(spark, folder, name))
+def _words(spark: SparkSession, folder: str, name: str, per_post: bool = False) -> DataFrame:
+    return T.explode_words(D.table(spark, folder, name), per_post)
 
 
 def _plain(df: DataFrame, *names: str) -> DataFrame:
@@ -180,8 +180,10 @@ def tag_by_rules(spark, folder):
 @query
 def tag_by_token_rules(spark, folder):
     """Documents by the roles that use one of their words in a conversation."""
-    rules = _words(spark, folder, "conversations").select(F.col("word").alias("value"), F.col("role").alias("tag"))
-    return G.tag_by_token_rules(_words(spark, folder, "documents"), rules.distinct(), "word", key="doc_id")
+    spoken = _words(spark, folder, "conversations", per_post=True)
+    rules = spoken.select(F.col("word").alias("value"), F.col("role").alias("tag")).distinct()
+    words = _words(spark, folder, "documents", per_post=True)
+    return G.tag_by_token_rules(words, rules, "word", key="doc_id")
 
 
 @query
