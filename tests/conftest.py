@@ -1,3 +1,5 @@
+import contextlib
+import io
 import sys
 from pathlib import Path
 
@@ -35,12 +37,12 @@ def with_conf(spark):
     def put(**options):
         for name, value in options.items():
             name = name.replace("__", ".")
-            before.setdefault(name, spark.conf.get(name))
+            before.setdefault(name, spark.conf.get(name, None))
             spark.conf.set(name, value)
 
     yield put
     for name, value in before.items():
-        spark.conf.set(name, value)
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 @pytest.fixture
@@ -83,7 +85,11 @@ def make_authors(spark):
     return make
 
 
-def plan_of(df) -> str:
-    """The executed plan as text, with exchanges reused as they were at run time."""
-    df.collect()
-    return df._jdf.queryExecution().explainString(df._sc._jvm.PythonSQLUtils.toExplainMode("formatted"))
+def plan_of(df, run: bool = True) -> str:
+    """The formatted plan; after a run it is the final one, with exchanges as they were reused."""
+    if run:
+        df.collect()
+    printed = io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        df.explain("formatted")
+    return printed.getvalue()
