@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Bucket columns per grain. The first three have a fixed number of buckets (7, 24, 168).
+# Bucket columns per grain. The calendar bounds the number of buckets: 7, 24, 168, one per day.
 GRAINS = {
     "day": ["day_of_week"],
     "hour": ["hour"],
     "day_hour": ["day_of_week", "hour"],
     "date": ["date"],
 }
-FIXED_GRAINS = ("day", "hour", "day_hour")
 
 
 def bucket(name: str, time: Column) -> Column:

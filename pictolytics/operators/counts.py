@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pictolytics.functions.time import FIXED_GRAINS, GRAINS, bucket
+from pictolytics.functions.time import GRAINS, bucket
 
 
 def count_by(tokens: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -34,8 +34,9 @@ def winners(counts: DataFrame, buckets: Sequence[str], name: str = "n", few_buck
 
     A window would bring a whole bucket, such as all words of one weekday, into one task. Here the
     maxima are a small partial aggregate that joins back on bucket and count, and both readers
-    of ``counts`` share one shuffle. ``few_buckets`` states that the number of buckets is fixed
-    by the calendar (at most 168 and three grains), so the maxima may be broadcast.
+    of ``counts`` share one shuffle. ``few_buckets`` states that the calendar bounds the number of
+    buckets (168 weekday hours, one date per day), so the maxima are broadcast and the counts
+    stay where they are; other buckets are joined as their size demands.
     """
     best = counts.groupBy(*buckets).agg(F.max(name).alias(name))
     best = best.toDF(*[f"best_{c}" for c in best.columns])
@@ -50,7 +51,7 @@ def winners_by_time(tokens: DataFrame, grain: str, token: str, name: str = "n")
         raise ValueError(f"grain must be one of {sorted(GRAINS)}, not {grain!r}")
     buckets = GRAINS[grain]
     counts = count_by(with_buckets(tokens, buckets), [*buckets, token], name)
-    return winners(counts, buckets, name, few_buckets=grain in FIXED_GRAINS)
+    return winners(counts, buckets, name, few_buckets=True)
 
 
 def winners_of_all_grains(tokens: DataFrame, token: str, name: str = "n") -> DataFrame:

@@ -84,6 +84,13 @@ ORACLES: dict[str, str] = {
     "top_emoji_by_hour": _sql(_best(_HOUR, "emoji", "occurrence", "tokens"), "tokens"),
     "top_emoji_by_day_hour": _sql(_best(_DAY | _HOUR, "emoji", "n", "tokens"), "tokens"),
     "top_emoji_by_date": _sql(_best({"date": "CAST(time AS DATE)"}, "emoji", "n", "tokens"), "tokens"),
+    "top_emoji_from_table": _sql(_best({"date": "CAST(time AS DATE)"}, "emoji", "n", "tokens"), "tokens"),
+    "top_emoji_known_authors": _sql(
+        f"""SELECT emoji, count(*) AS usage FROM tokens
+            WHERE author_id IN (SELECT user_id FROM authors WHERE followers_count <= {FOLLOWERS}) GROUP BY emoji""",
+        "tokens",
+        "authors",
+    ),
     "top_emoji_by_day_english": _sql(
         _best(_DAY, "emoji", "popularity", "(SELECT * FROM tokens WHERE lang = 'en')"), "tokens"
     ),

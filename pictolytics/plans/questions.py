@@ -23,9 +23,21 @@ TIME_PROFILES = {
 }
 
 
-def emoji_of(posts: DataFrame, lang: str | None = None, keep_reposts: bool = False) -> DataFrame:
-    """The emoji table: one row per emoji of the chosen posts, with all columns of its post."""
-    return T.explode_emoji(T.select_posts(posts, lang, keep_reposts))
+def emoji_of(
+    posts: DataFrame,
+    lang: str | None = None,
+    keep_reposts: bool = False,
+    known_authors: DataFrame | None = None,
+) -> DataFrame:
+    """The emoji table: one row per emoji of the chosen posts, with all columns of its post.
+
+    ``known_authors`` keeps only posts of these authors. Author columns are not added, so no
+    author can multiply a post.
+    """
+    chosen = T.select_posts(posts, lang, keep_reposts)
+    if known_authors is not None:
+        chosen = A.with_authors(chosen, known_authors.select("user_id").distinct(), "left_semi")
+    return T.explode_emoji(chosen)
 
 
 def most_used(tokens: DataFrame, token: str = "emoji", limit: int | None = None) -> DataFrame:

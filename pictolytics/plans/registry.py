@@ -19,6 +19,7 @@ from pictolytics.sources import derived as D
 from pictolytics.sources import pages as P
 from pictolytics.sources import records as R
 from pictolytics.sources.schemas import AUTHOR_COLUMNS, POST_COLUMNS
+from pictolytics.sources.token_table import read_token_table, write_token_table
 from pictolytics.streaming import live, run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +143,13 @@ def variant_emoji(spark, folder):
 # Authors
 
 
+@query
+def top_emoji_known_authors(spark, folder):
+    """Over the posts of authors with few followers only, by way of a semi-join."""
+    known = D.authors(spark, folder).where(F.col("followers_count") <= FOLLOWERS)
+    return Q.most_used(Q.emoji_of(D.posts(spark, folder), known_authors=known))
+
+
 @query
 def famous_emoji(spark, folder):
     return Q.used_by_followed_authors(D.posts(spark, folder), D.authors(spark, folder), FOLLOWERS)
@@ -229,6 +237,13 @@ def pages_authors(spark, folder):
     return A.latest_authors(P.flatten_authors(_landed_pages(spark, folder)))
 
 
+@query
+def top_emoji_from_table(spark, folder):
+    """Cut once, stored by date without the text, then asked."""
+    path = write_token_table(_emoji(spark, folder), shared_dir(spark, "tokens"))
+    return Q.most_used_by_time(read_token_table(spark, path), "date")
+
+
 # Streams
 
 

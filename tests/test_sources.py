@@ -7,8 +7,10 @@ from pictolytics.operators.authors import latest_authors, unique_posts
 from pictolytics.sources import derived as D
 from pictolytics.sources import pages as P
 from pictolytics.sources import records as R
+from pictolytics.plans.questions import emoji_of
 from pictolytics.sources.schemas import AUTHOR_COLUMNS, POST_COLUMNS, infer_schema
-from conftest import TABLES
+from pictolytics.sources.token_table import read_token_table, write_token_table
+from conftest import TABLES, plan_of
 
 
 def post(i, author="7", **more):
@@ -130,3 +132,12 @@ def test_derived_posts_cover_the_whole_tables(spark):
     used = documents.join(posts, posts["text"].contains(documents["text"]), "left_semi")
     assert used.count() == documents.count()
     assert D.authors(spark, TABLES).columns == AUTHOR_COLUMNS
+
+
+def test_token_table_reads_only_the_dates_asked_for(spark, make_posts, tmp_path):
+    posts = make_posts([{"time": f"2024-01-0{d}T12:00:00Z", "text": "😀 🎉"} for d in (1, 2, 2, 3)])
+    path = write_token_table(emoji_of(posts), str(tmp_path / "tokens"))
+    assert read_token_table(spark, path).count() == 8
+    some = read_token_table(spark, path, "2024-01-02", "2024-01-02")
+    assert "text" not in some.columns and some.count() == 4
+    assert "PartitionFilters: [isnotnull(token_date" in plan_of(some)
