@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pictolytics.llm import packing, toxicity
+from pictolytics.llm import packing, secrets, toxicity
 from pictolytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,16 @@ def op10_toxicity(spark, folder):
     chain = toxicity.fit_chain(docs, table(spark, folder, "labels"), CATEGORIES)
     scored = toxicity.score_chain(docs, chain)
     return scored.select("doc_id", "p_quality", "p_toxic", (F.col("p_toxic") >= TOXIC).alias("toxic"))
+
+
+@query
+def op2_secret_scans(spark, folder):
+    found = secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    base = secrets.base_only(F.col("spans"))
+    counts = {f"n_{k}": F.size(secrets.base_only(F.col("spans"), k)).cast("long") for k in secrets.BASE}
+    return found.select(
+        "doc_id",
+        *[c.alias(n) for n, c in counts.items()],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
