@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pictolytics.llm import packing, secrets, toxicity
+from pictolytics.llm import decontamination, packing, secrets, toxicity
 from pictolytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,8 @@ def op2_secret_scans(spark, folder):
         F.sha2(secrets.listed(base), 256).alias("base_sha256"),
         secrets.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op6_benchmark_decontamination(spark, folder):
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
