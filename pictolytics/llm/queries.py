@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pictolytics.llm import decontamination, packing, secrets, toxicity
+from pictolytics.llm import decontamination, jaccard, packing, secrets, toxicity
 from pictolytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,8 @@ def op2_secret_scans(spark, folder):
 @query
 def op6_benchmark_decontamination(spark, folder):
     return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op5_ngram_jaccard_join(spark, folder):
+    return jaccard.similar_components(table(spark, folder, "documents"))
