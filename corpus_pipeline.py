@@ -1,6 +1,9 @@
 """A training corpus from raw documents: stages over the operators of ``pictolytics.llm``.
 
-Every stage is written as Parquet and read again, so a lost executor never costs more than a stage.
+Every stage works on all that the stage before it kept, and its decisions take effect: toxic documents
+go, one document of each group of near copies stays, documents that hold benchmark items go, secrets are
+struck out of the texts, and what is left is packed. Stages are written as Parquet and read again, so a
+lost executor never costs more than a stage.
 """
 
 from __future__ import annotations
@@ -8,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pictolytics.llm import packing, toxicity
+from pictolytics.llm import decontamination, jaccard, packing, secrets, toxicity
 from pictolytics.llm.common import landed, table
 from pictolytics.llm.queries import CATEGORIES, TOXIC
 
@@ -22,6 +25,27 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.score_chain(docs, chain).where(F.col("p_toxic") < TOXIC).select(*docs.columns)
 
 
+def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies; rows without an id stay."""
+    groups = jaccard.similar_components(docs)
+    others = groups.where("component_id <> doc_id").select("doc_id")
+    others = landed(others, "near-copies")  # ids only; their number decides how they are joined
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets struck out and ``n_chars`` counted anew where that changed it."""
+    found = secrets.find_secrets(docs)
+    clean = found.withColumn("text", secrets.redact(F.col("text"), F.col("spans")))
+    length = F.when(F.size("spans") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024 ids."""
     import public_tokenizers
@@ -31,6 +55,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("toxicity", toxicity_stage),
+    ("near copies", near_copies_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secrets_stage),
     ("packing", packing_stage),
 ]
 
@@ -38,5 +65,5 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = landed(stage(spark, docs, sf_dir), name)
+        docs = landed(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
