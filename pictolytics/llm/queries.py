@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pictolytics.llm import decontamination, jaccard, packing, secrets, toxicity
+from pictolytics.llm import decontamination, jaccard, packing, repeats, secrets, toxicity, warc
 from pictolytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,15 @@ def op6_benchmark_decontamination(spark, folder):
 @query
 def op5_ngram_jaccard_join(spark, folder):
     return jaccard.similar_components(table(spark, folder, "documents"))
+
+
+@query
+def op8_substring_dedup(spark, folder):
+    return repeats.find_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op4_warc(spark, folder):
+    store = warc.archive_folder(spark)
+    archives = warc.write_archives(table(spark, folder, "pages"), store)
+    return warc.read_archives(archives, store).drop("url", "html")
