@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pictolytics.llm import decontamination, jaccard, packing, repeats, secrets, toxicity, warc
+from pictolytics.llm import decontamination, embeddings, jaccard, packing, repeats, secrets, toxicity, warc
 from pictolytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,24 @@ def op4_warc(spark, folder):
     store = warc.archive_folder(spark)
     archives = warc.write_archives(table(spark, folder, "pages"), store)
     return warc.read_archives(archives, store).drop("url", "html")
+
+
+@query
+def op7_embedding_near_dedup(spark, folder):
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
+ORACLES["op7_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(e, lambda x: abs(x))) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS n, vec_id AS r FROM v UNION SELECT reach.n, link.b FROM reach JOIN link ON link.a = reach.r
+), comp AS (SELECT n, min(r) AS component_id FROM reach GROUP BY n)
+SELECT n AS vec_id, (SELECT count(*) FROM link WHERE link.a = n) AS n_links, component_id, component_id = n AS kept FROM comp
+"""
