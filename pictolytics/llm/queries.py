@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pictolytics.llm import decontamination, embeddings, jaccard, packing, repeats, secrets, toxicity, warc
+from pictolytics.llm import decontamination, embeddings, jaccard, licenses, packing, repeats, secrets, toxicity, urls, warc
 from pictolytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,34 @@ WITH RECURSIVE v AS (
 ), comp AS (SELECT n, min(r) AS component_id FROM reach GROUP BY n)
 SELECT n AS vec_id, (SELECT count(*) FROM link WHERE link.a = n) AS n_links, component_id, component_id = n AS kept FROM comp
 """
+
+
+@query
+def op3_license_scans(spark, folder):
+    found = licenses.scan_licenses(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").cast("long").alias("first_word"),
+        F.array_max("starts").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+URL_RULES = [
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+]
+
+
+@query
+def op1_url_filters(spark, folder):
+    """Trees are trained on the URLs that the rules label and judge the others."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    model = urls.fit_urls(pages, "url", urls.label_by_rules(URL_RULES))
+    return urls.judge_urls(pages, "url", URL_RULES, model).drop("url")
