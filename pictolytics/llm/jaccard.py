@@ -14,13 +14,14 @@ of differing parts is a lower bound of the symmetric difference. Two sets with a
 * What is left is verified on the shingle sets.
 
 Documents with equal sets are folded first. Groups of near copies are first joined to a few of their
-own (``ROUNDS``); afterwards only pairs of different groups are looked for. All links that connect
+own (``LEADERS``); afterwards only pairs of different groups are looked for. All links that connect
 groups are found: pairs within a group that is connected already need no look.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,23 +36,31 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 BITS = 1024
 WORDS = BITS // 64
-ROUNDS = 2
-LEADERS = 2
+LEADERS = 4
 KNOWN = 300_000
 SEEN = 500_000
 SATURATED = 4096
+PORTION = 500_000
 
 _M = (1 << 64) - 1
 
 
-def _mix(x: np.ndarray, salt: int) -> np.ndarray:
+def _salt(salt: int) -> np.uint64:
+    return np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & _M)
+
+
+_SALTS = np.array([_salt(101 + level) for level in range(64)], np.uint64)
+
+
+def _mix(x: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: multiply and shift until every bit depends on every bit."""
-    x = (x + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & _M)).astype(np.uint64)
+    x = x + (salt if isinstance(salt, np.ndarray) else _salt(salt))
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xA0761D6478BD642F)
-    return x ^ (x >> np.uint64(32))
+    x ^= x >> np.uint64(32)
+    return x
 
 
 class WordHashes(dict):
@@ -64,19 +73,90 @@ class WordHashes(dict):
         return h
 
 
-def shingles(text: str | None, known: WordHashes, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; a shorter text is one shingle, an empty one none."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
+class Sets:
+    """Shingle sets of several texts, one after the other: ``h`` sorted and distinct within each, ``n`` their sizes."""
+
+    def __init__(self, h: np.ndarray, n: np.ndarray):
+        self.h, self.n = h, n
+        self.at = np.r_[0, np.cumsum(n)]
+        self.of = np.repeat(np.arange(len(n)), n)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.h[self.at[i] : self.at[i + 1]]
+
+    def take(self, rows: np.ndarray) -> Sets:
+        keep = np.zeros(len(self.n), bool)
+        keep[rows] = True
+        return Sets(self.h[keep[self.of]], self.n[rows])
+
+    def digests(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of every set, 0 for an empty one."""
+        out = np.zeros((2, len(self.n)), np.int64)
+        some = np.flatnonzero(self.n)
+        if len(some):
+            out[0, some] = np.add.reduceat(_mix(self.h, 606), self.at[some]).view(np.int64)
+            out[1, some] = np.bitwise_xor.reduceat(_mix(self.h, 707), self.at[some]).view(np.int64)
+        return out[0], out[1]
+
+    def sketches(self) -> np.ndarray:
+        """Parities of the shingles that fall on each of ``BITS`` bits, as rows of signed 64-bit words."""
+        at = (_mix(self.h, 505) & np.uint64(BITS - 1)).astype(np.int64) + self.of * BITS
+        bits = (np.bincount(at, minlength=BITS * len(self.n)) & 1).astype(np.uint8)
+        return np.packbits(bits).view(np.int64).reshape(-1, WORDS)
+
+    def parts(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Set, number and XOR-hash of every part that holds shingles; a set of level -1 has none.
+
+        The number of parts depends on the level only.
+        """
+        count = np.where(level < 0, 0, np.maximum(1, (0.72 * 2.0 ** np.maximum(level, 0)).astype(np.int64)))
+        first = np.r_[0, np.cumsum(count)]
+        use = level[self.of] >= 0
+        h, of = self.h[use], self.of[use]
+        slot = first[of] + (_mix(h, _SALTS[level[of]]) % count[of].astype(np.uint64)).astype(np.int64)
+        value = np.zeros(first[-1], np.uint64)
+        np.bitwise_xor.at(value, slot, _mix(h, 202))
+        filled = np.flatnonzero(np.bincount(slot, minlength=first[-1]))
+        owner = np.searchsorted(first, filled, side="right") - 1
+        return owner, filled - first[owner], value[filled]
+
+
+def shingle_sets(texts: list[str | None], known: WordHashes, size: int = SHINGLE) -> Sets:
+    """Distinct 64-bit hashes of the word shingles; a shorter text is one shingle, an empty one none."""
     if len(known) > KNOWN:
         known.clear()
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    span = min(size, len(words))
-    total = np.full(len(words) - span + 1, span, np.uint64)
-    for i in range(span):
-        total = _mix(total ^ h[i : len(h) - span + 1 + i], i + 1)
-    return np.unique(total)
+    words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
+    n = np.array([len(w) for w in words], np.int64)
+    h = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, int(n.sum()))
+    at = np.r_[0, np.cumsum(n)]
+
+    def hashed(h: np.ndarray, span: int) -> np.ndarray:
+        if len(h) < span:
+            return h[:0]
+        total = np.full(len(h) - span + 1, span, np.uint64)
+        for i in range(span):
+            total = _mix(total ^ h[i : len(h) - span + 1 + i], i + 1)
+        return total
+
+    whole = hashed(h, size)  # those that reach over the end of a text are not taken
+    sets = []
+    for i in range(len(n)):
+        if n[i] >= size:
+            sets.append(np.unique(whole[at[i] : at[i + 1] - size + 1]))
+        else:
+            sets.append(hashed(h[at[i] : at[i + 1]], int(n[i])) if n[i] else h[:0])
+    return Sets(np.concatenate(sets) if sets else np.empty(0, np.uint64), np.array([len(x) for x in sets], np.int64))
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str | None]]]:
+    """Keys and texts of a batch, in portions of about ``PORTION`` characters."""
+    low, size, texts = 0, 0, []
+    for i, t in enumerate(batch.column(1)):
+        texts.append(t.as_py())
+        size += len(texts[-1] or "")
+        if size >= PORTION or i + 1 == batch.num_rows:
+            yield batch.column(0).slice(low, len(texts)), texts
+            low, size, texts = i + 1, 0, []
 
 
 def _limit(n: int, other: int) -> int:
@@ -94,39 +174,27 @@ def _levels(n: int) -> list[tuple[int, int]]:
     return out
 
 
-def _parts(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and XOR-hashes of the parts that hold shingles; their number depends on the level only."""
-    number = (_mix(h, 101 + level) % np.uint64(max(1, int(0.72 * (1 << level))))).astype(np.int64)
-    order = np.argsort(number, kind="stable")
-    number = number[order]
-    first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
-    return number[first], np.bitwise_xor.reduceat(_mix(h, 202)[order], first)
-
-
-def _key(value: np.ndarray, tag: int) -> np.ndarray:
-    return ((_mix(value, 303) & np.uint64(_M - 127)) | np.uint64(tag)).astype(np.int64)
+def _key(value: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    return ((_mix(value, 303) & np.uint64(_M - 127)) | tag.astype(np.uint64)).view(np.int64)
 
 
-def _keys(h: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-    """(tag, prefix length, keys) of a set: its filled parts, level by level.
+def _keys(sets: Sets) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(tag, prefix length) of every set, -1 where it has none, and (set, key) of all keys: filled parts, level by level.
 
     Where a set fills no more parts than may be spoilt, two such sets could agree in empty parts only.
     They get their single shingles as keys too, of which linked sets always share some.
     """
-    out = []
-    for level, d in _levels(len(h)):
-        number, value = _parts(h, level)
-        out.append((2 * level, d + 1, _key(value ^ _mix(number.astype(np.uint64), 404), 2 * level)))
-        if len(number) <= d:
-            out.append((2 * level + 1, d + 1, _key(h, 2 * level + 1)))
-    return out
-
-
-def _sketch(h: np.ndarray) -> np.ndarray:
-    """Parities of the shingles that fall on each of ``BITS`` bits, as signed 64-bit words."""
-    at = (_mix(h, 505) & np.uint64(BITS - 1)).astype(np.int64)
-    bits = (np.bincount(at, minlength=BITS) & 1).astype(np.uint8)
-    return np.packbits(bits).view(np.int64)
+    levels = [_levels(int(n)) if n else [] for n in sets.n]
+    for turn in range(2):
+        level = np.array([x[turn][0] if len(x) > turn else -1 for x in levels], np.int64)
+        apart = np.array([x[turn][1] if len(x) > turn else 0 for x in levels], np.int64)
+        owner, number, value = sets.parts(level)
+        tag = np.where(level < 0, -1, 2 * level)
+        yield tag, apart + 1, owner, _key(value ^ _mix(number.astype(np.uint64), 404), tag[owner])
+        weak = (level >= 0) & (np.bincount(owner, minlength=len(level)) <= apart)
+        tag = np.where(weak, 2 * level + 1, -1)
+        own = weak[sets.of]
+        yield tag, apart + 1, sets.of[own], _key(sets.h[own], tag[sets.of[own]])
 
 
 _SKETCH = [f"s{i}" for i in range(WORDS)]
@@ -141,19 +209,14 @@ def _described(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
-            rows = np.zeros((b.num_rows, len(names) - 1), np.int64)
-            for r, text in enumerate(b.column(1)):
-                h = shingles(text.as_py(), known, size)
-                rows[r, 0] = len(h)
-                rows[r, 3:11] = -1
-                if len(h):
-                    rows[r, 1] = _mix(h, 606).sum(dtype=np.uint64).astype(np.int64)
-                    rows[r, 2] = np.bitwise_xor.reduce(_mix(h, 707)).astype(np.int64)
-                    for k, (tag, prefix, keys) in enumerate(_keys(h)):
-                        rows[r, 3 + 2 * k], rows[r, 4 + 2 * k] = tag, prefix - len(keys)
-                    rows[r, 11:] = _sketch(h)
-            columns = [b.column(0), *[pa.array(rows[:, i]) for i in range(rows.shape[1])]]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            for ids, texts in _portions(b):
+                sets = shingle_sets(texts, known, size)
+                columns = [ids, pa.array(sets.n), *map(pa.array, sets.digests())]
+                for tag, prefix, owner, _ in _keys(sets):
+                    free = prefix - np.bincount(owner, minlength=len(tag))
+                    columns += [pa.array(tag), pa.array(np.where(tag < 0, -1, free))]
+                columns += [pa.array(c) for c in sets.sketches().T]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return docs.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
@@ -164,24 +227,18 @@ def _emitted(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = WordHashes(), set()
         for b in batches:
-            keys, ids, held = [], [], 0
-            for doc, text in zip(b.column(0), b.column(1), strict=True):
-                h = shingles(text.as_py(), known, size)
-                same = (len(h), int(_mix(h, 606).sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(_mix(h, 707)))) if len(h) else None
-                if same is None or same in seen:
-                    continue
-                if len(seen) >= SEEN:
+            for ids, texts in _portions(b):
+                sets, new = shingle_sets(texts, known, size), []
+                for i, same in enumerate(zip(sets.n.tolist(), *(d.tolist() for d in sets.digests()), strict=True)):
+                    if same[0] and same not in seen:
+                        seen.add(same)
+                        new.append(i)
+                if len(seen) > SEEN:
                     seen.clear()
-                seen.add(same)
-                for _, _, own in _keys(h):
-                    keys.append(own)
-                    ids.append(np.full(len(own), doc.as_py(), np.int64))
-                    held += len(own)
-                if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], ["key", "_id"])
-                    keys, ids, held = [], [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], ["key", "_id"])
+                rows = np.array(new, np.int64)
+                doc = ids.to_numpy(zero_copy_only=False)[rows]
+                for _, _, owner, key in _keys(sets.take(rows)):
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc[owner])], ["key", "_id"])
 
     return docs.mapInArrow(run, "key long, _id long")
 
@@ -262,10 +319,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                found = [shingles(t.as_py(), known, size).tobytes() for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["_id", "h"])
+            for ids, texts in _portions(b):
+                sets = shingle_sets(texts, known, size)
+                found = [sets[i].tobytes() for i in range(len(texts))]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.binary())], ["_id", "h"])
 
     return docs.join(wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(run, "_id long, h binary")
 
@@ -312,16 +369,15 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     about = landed(described.join(rows.select("_id").distinct(), "_id", "left_semi").select("_id", "n", *_SKETCH), "sketches")
     sets = landed(_sets(texts, about.select("_id"), size), "shingles")
 
-    edges = same
-    for turn in range(ROUNDS + 1):
-        groups = components(edges)
+    # Equal sets are stars already: every copy beside the first of its set.
+    groups = same.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    for last in (False, True):
         owned = rows.join(groups, rows["_id"] == groups["node"], "left")
         owned = owned.select("key", "_id", F.coalesce("component", "_id").alias("group"))
         mixed = owned.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("key")
         owned = landed(owned.join(mixed, "key").distinct(), "open-keys")
-        if turn < ROUNDS:  # every document with those that most of its keys name as the first
-            order = F.struct(F.xxhash64(F.lit(turn), "group", "_id"), "_id", "group")
-            leaders = owned.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l._id").alias("lead"), F.col("l.group").alias("lead_group"))
+        if not last:  # every document with those that most of its keys name as the first
+            leaders = owned.groupBy("key").agg(F.min(F.struct("group", "_id")).alias("l")).select("key", F.col("l._id").alias("lead"), F.col("l.group").alias("lead_group"))
             named = owned.join(leaders, "key").where("group <> lead_group").groupBy("_id", "lead").agg(F.count("*").alias("c"))
             rank = F.row_number().over(Window.partitionBy("_id").orderBy(F.desc("c"), "lead"))
             named = named.withColumn("rank", rank).where(F.col("rank") <= LEADERS)
@@ -334,8 +390,9 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
             apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.group") < F.col("y.group"))
             pairs = x.join(y, apart & _may_link("x", "y")).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"))
         found = _verified(pairs.select("a", "b").distinct(), sets)
-        edges = edges.unionByName(found)
-    groups = components(edges)
+        if not last or not found.isEmpty():
+            stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            groups = components(stars.unionByName(found))
     return described.join(groups, described["_id"] == groups["node"], "left").select(
         F.col("_id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "_id").alias("component_id")
     )
