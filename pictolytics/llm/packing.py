@@ -8,11 +8,11 @@ partition is merged in groups of a few partitions. Documents are never shuffled.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +26,6 @@ LENGTH = 1024
 WINDOWS = 64
 TOP_UP = 24
 MERGED = 4
-CACHE = 400_000
-PORTION = 1_000_000
-STRUNG = 2_000
 ROWS = 4096
 
 SCHEMA = (
@@ -37,75 +34,45 @@ SCHEMA = (
 )
 
 
-def _cut(text: str) -> list[str]:
-    """The text in pieces that are encoded apart: cuts are made before single spaces only."""
-    first, *rest = text.split(" ")
-    pieces = [first, *[" " + p for p in rest]]
-    if all(len(p) > 1 and not p[1].isspace() and not p[-1].isspace() for p in pieces[1:]) and not first[-1:].isspace() and first:
-        return pieces
-    joined = [first]  # pieces that touch other white space stay with their neighbours
-    for p in pieces[1:]:
-        before = joined[-1][-1:]
-        if not before or before.isspace() or len(p) == 1 or p[1].isspace():
-            joined[-1] += p
-        else:
-            joined.append(p)
-    return joined
+# Fixed value: how byte-level vocabularies of this family cut a text into words.
+_WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _byte_letters() -> dict[str, int]:
+    """Letter -> byte in the written form of byte-level tokens: printable bytes stand for themselves."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(other)}}
 
 
 class Encoder:
-    """Ids of texts, piece by piece of what lies between single spaces.
+    """Ids of texts by a byte-level tokenizer file, as ``encode(text, add_special_tokens=False)`` gives them.
 
-    In the byte-level vocabulary a space belongs to the word after it and no token crosses such a
-    space, so a text cut there gives the ids of the whole. Pieces are kept in a bounded dictionary.
+    Where the file's merges are in the order of their ids, its vocabulary is handed to the faster ``tiktoken``,
+    which then merges alike. Texts with the string of an added token are left to ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _encode(self, pieces: list[str]) -> dict[str, tuple[int, ...]]:
-        """Plain pieces are encoded many at a time, strung together: a cut before a single space is always possible."""
-        plain = [p for p in pieces if p[:1] == " " and len(p) <= 64 and len(p.split()) == 1 and "<" not in p]
-        rest = list(set(pieces).difference(plain))
-        found = {p: tuple(e.ids) for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True)}
-        for lo in range(0, len(plain), STRUNG):
-            some = plain[lo : lo + STRUNG]
-            encoded = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            starts = np.fromiter((a for a, _ in encoded.offsets), dtype=np.int64)
-            bounds = np.searchsorted(starts, np.cumsum([0, *map(len, some)]))
-            ids = encoded.ids
-            found.update((p, tuple(ids[a:b])) for p, a, b in zip(some, bounds[:-1], bounds[1:], strict=True))
-        return found
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [_cut(t) for t in texts]
-        new = list(set().union(*cut).difference(self.known))
-        found = self._encode(new)
-        if len(self.known) + len(found) > CACHE:
-            self.known = {p: self.known[p] for p in set().union(*cut).intersection(self.known)}
-        self.known.update(found)
-        out = [np.fromiter(chain.from_iterable(map(self.known.__getitem__, c)), dtype="<u4") for c in cut]
-        for p in new:
-            if len(p) > 64:
-                del self.known[p]
-        return out
-
-
-def _portions(texts: Iterable[str], most: int) -> Iterator[list[str]]:
-    """Consecutive texts, together about ``most`` characters, or one longer text alone."""
-    held, size = [], 0
-    for t in texts:
-        if held and size + len(t) > most:
-            yield held
-            held, size = [], 0
-        held.append(t)
-        size += len(t)
-    if held:
-        yield held
+        told = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"] for t in told["added_tokens"]]
+        vocabulary, merges = told["model"]["vocab"], told["model"]["merges"]
+        merged = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
+        simple = told["pre_tokenizer"]["type"] == "ByteLevel" and not told["pre_tokenizer"]["add_prefix_space"] and not told["normalizer"]
+        self.fast = None
+        if simple and merged == sorted(merged):
+            letters = _byte_letters()
+            ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if t not in self.added}
+            self.fast = tiktoken.Encoding("bytes", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> np.ndarray:
+        if self.fast is None or any(t in text for t in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.fast.encode_ordinary(text), "<u4")
 
 
 @dataclass
@@ -193,8 +160,8 @@ def pack(
     A document's ids are its text's, then ``end_id``; a null or empty text is that one id. Every id
     lies in exactly one piece; ids of a sequence lie from offset 0 without a gap; a sequence holds at
     most ``length`` ids. Repeated rows and rows with a null key are packed like any other; other columns
-    are left aside. An empty table gives no pieces. Memory of a task: ``windows`` sequences, one
-    document and a dictionary of some 400,000 pieces.
+    are left aside. An empty table gives no pieces. Memory of a task: ``windows`` sequences and
+    one document.
     """
     key_type = docs.schema[key].dataType.simpleString()
     arrow_key = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[key_type]
@@ -206,13 +173,10 @@ def pack(
         at = TaskContext.get().partitionId()
         encoder, packer, rows = Encoder(tokenizer), Packer(length, windows, top_up, at << 32), Rows(schema, key)
         for batch in batches:
-            names, at_row = batch.column(0), 0
-            for some in _portions((t.as_py() or "" for t in batch.column(1)), PORTION):
-                for found in encoder.ids(some):
-                    ids = np.append(found, np.uint32(end_id)).astype("<u4")
-                    for closed in packer.add(names[at_row].as_py(), 0, ids, len(ids)):
-                        rows.add(closed, None)
-                    at_row += 1
+            for doc, words in zip(batch.column(0), batch.column(1), strict=True):
+                ids = np.append(encoder.ids(words.as_py() or ""), np.uint32(end_id)).astype("<u4")
+                for closed in packer.add(doc.as_py(), 0, ids, len(ids)):
+                    rows.add(closed, None)
                 yield from rows.batches(ROWS)
         for window in packer.open:
             rows.add(window, at // MERGED)
