@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 # 1 / HOT_SHARE keys can qualify, which bounds what is broadcast.
 HOT_SHARE = 0.001
 
-# Up to this many author rows are broadcast (some 20 MB), which leaves the posts where they are.
-FEW_AUTHORS = 100_000
-
 
 def latest_authors(authors: DataFrame, stamp: str = "page_time") -> DataFrame:
     """The newest snapshot per author.
@@ -26,33 +23,39 @@ def latest_authors(authors: DataFrame, stamp: str = "page_time") -> DataFrame:
 
 
 def unique_posts(posts: DataFrame, stamp: str = "time") -> DataFrame:
-    """One row per post id, the one with the newest stamp; copies collapse before the shuffle."""
+    """One row per post id, the one with the newest stamp; copies collapse before the shuffle.
+
+    Posts without an id are no copies of each other and all stay.
+    """
     rest = [c for c in posts.columns if c not in ("tweet_id", stamp)]
     newest = F.max(F.struct(stamp, *rest)).alias("newest")
-    kept = posts.groupBy("tweet_id").agg(newest).select("tweet_id", "newest.*")
-    return kept.select(*posts.columns)
+    named = posts.where(F.col("tweet_id").isNotNull())
+    kept = named.groupBy("tweet_id").agg(newest).select("tweet_id", "newest.*").select(*posts.columns)
+    return kept.unionByName(posts.where(F.col("tweet_id").isNull()))
 
 
-def with_authors(
-    posts: DataFrame,
-    authors: DataFrame,
-    how: str = "inner",
-    hot_share: float = HOT_SHARE,
-    few_authors: int = FEW_AUTHORS,
-) -> DataFrame:
+def with_authors(posts: DataFrame, authors: DataFrame, how: str = "inner") -> DataFrame:
     """Posts joined with their authors (``inner``, ``left``), or posts that have one (``left_semi``).
 
-    ``authors`` has one row per ``user_id``. No more than ``few_authors`` of them, which is
-    checked by counting that far, are broadcast. Otherwise both sides are shuffled: authors with
-    more than ``hot_share`` of all posts have their posts dealt over pieces by post id and their
-    author row repeated once per piece, at the cost of one count over the ``author_id`` column.
-    All others keep a single piece.
+    ``authors`` has one row per ``user_id``. No job runs until the result is used: adaptive execution
+    broadcasts the authors if their bytes allow it, and splits the partitions of busy authors otherwise.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join {how!r}")
-    if authors.limit(few_authors + 1).count() <= few_authors:
-        return posts.join(F.broadcast(authors), posts["author_id"] == authors["user_id"], how)
+    return posts.join(authors, posts["author_id"] == authors["user_id"], how)
+
 
+def with_authors_dealt(
+    posts: DataFrame, authors: DataFrame, how: str = "inner", hot_share: float = HOT_SHARE
+) -> DataFrame:
+    """The same join, both sides shuffled and busy authors dealt over pieces by hand.
+
+    For sessions without adaptive execution, or where one author's posts outgrow what it splits. Authors
+    with more than ``hot_share`` of all posts have their posts dealt by post id and their author row repeated
+    once per piece, at the cost of one count over the ``author_id`` column. All others keep a single piece.
+    """
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"unsupported join {how!r}")
     hot = _hot_authors(posts, hot_share)
     # Posts without an author match nothing; a left join keeps them, dealt like those of a hot author.
     dealt_over = F.when(F.col("author_id").isNull(), F.lit(round(1 / hot_share))).otherwise(F.col("pieces"))
@@ -69,7 +72,7 @@ def with_authors(
         .drop("hot_id", "pieces")
     )
     same = (F.col("author_id") == F.col("user_id")) & (F.col("post_piece") == F.col("author_piece"))
-    return dealt.join(repeated, same, how).drop("post_piece", "author_piece")
+    return dealt.join(repeated.hint("merge"), same, how).drop("post_piece", "author_piece")
 
 
 def _hot_authors(posts: DataFrame, hot_share: float) -> DataFrame:

@@ -7,13 +7,14 @@ to the end of the next older one, so the slots tile the whole span and no post f
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
+BLOCK = 1024
 
 
 def slot_count(step_minutes: int, span_days: int) -> int:
@@ -78,21 +79,24 @@ def newest_before_end(kept: DataFrame, grid: DataFrame, per_slot: int = 100) ->
     sums have one row per slot of the grid, a number that the arguments fix.
     """
     sizes = kept.groupBy("slot").agg(F.count(F.lit(1)).alias("size"))
-    newer = F.coalesce(F.sum("size").over(W.orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    running = grid.join(sizes, "slot", "left").select(
-        "slot", F.coalesce("size", F.lit(0)).alias("size"), newer.alias("newer")
-    )
-    filled = running.where(F.col("size") > 0).agg(
-        F.collect_list(F.struct(F.col("slot").alias("source"), F.col("newer").alias("source_newer")))
-    )
-    in_reach = F.filter(
-        "filled",
-        lambda f: (f["source"] >= F.col("slot")) & (f["source_newer"] - F.col("newer") < per_slot),
+    block = F.floor(F.col("slot") / BLOCK)
+    every = grid.join(sizes, "slot", "left").select("slot", F.coalesce("size", F.lit(0)).alias("size"), block.alias("block"))
+    # Running sums in two levels: over the blocks, of which there are few, and within each block.
+    before = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    blocks = every.groupBy("block").agg(F.sum("size").alias("size"))
+    blocks = blocks.select("block", before(W.orderBy("block")).alias("newer_blocks"))
+    inside = every.withColumn("newer_inside", before(W.partitionBy("block").orderBy("slot")))
+    running = inside.join(blocks, "block").select("slot", "size", (F.col("newer_blocks") + F.col("newer_inside")).alias("newer"))
+    # A slot in reach has fewer than per_slot newer posts between, so it lies in the same bucket or the next.
+    bucket = F.floor(F.col("newer") / per_slot)
+    filled = running.where(F.col("size") > 0).select(
+        F.col("slot").alias("source"), F.col("newer").alias("source_newer"), bucket.alias("bucket")
     )
+    targets = running.select(F.col("slot").alias("target"), "newer", F.explode(F.array(bucket, bucket + 1)).alias("bucket"))
     reached = (
-        running.withColumn("filled", filled.scalar())
-        .select(F.col("slot").alias("target"), "newer", F.explode(in_reach).alias("f"))
-        .select("target", F.col("f.source").alias("source"), (F.col("f.source_newer") - F.col("newer")).alias("skipped"))
+        targets.join(filled, "bucket")
+        .where((F.col("source") >= F.col("target")) & (F.col("source_newer") - F.col("newer") < per_slot))
+        .select("target", "source", (F.col("source_newer") - F.col("newer")).alias("skipped"))
     )
     posts = kept.join(reached, kept["slot"] == reached["source"])
     place = (F.col("position") + F.col("skipped")).cast("int")
@@ -101,4 +105,8 @@ def newest_before_end(kept: DataFrame, grid: DataFrame, per_slot: int = 100) ->
 
 
 def _micros(now: datetime | Column) -> Column:
-    return F.unix_micros(now if isinstance(now, Column) else F.lit(now))
+    """Microseconds since the epoch; a naive ``now`` is UTC, whatever zone the driver machine is in."""
+    if isinstance(now, Column):
+        return F.unix_micros(now)
+    aware = now if now.tzinfo else now.replace(tzinfo=UTC)
+    return F.lit((aware - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1))

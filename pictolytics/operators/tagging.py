@@ -12,8 +12,10 @@ from pictolytics.functions.text import emoji_tokens, has_any, rule_tags
 
 def tag_by_rules(posts: DataFrame, rules: Iterable[tuple[str, str]]) -> DataFrame:
     """Add ``tags`` from ``(value, tag)`` rules and keep the posts that match at least one."""
-    tagged = posts.withColumn("tags", rule_tags(F.col("text"), list(rules)))
-    return tagged.where(F.size("tags") > 0)
+    # Exploding a list of one or no array keeps the tagged posts; a filter on the column would be pushed
+    # below it and evaluate every rule a second time.
+    some = F.filter(F.array(rule_tags(F.col("text"), list(rules))), lambda tags: F.size(tags) > 0)
+    return posts.select("*", F.explode(some).alias("tags"))
 
 
 def tag_by_token_rules(tokens: DataFrame, rules: DataFrame, token: str, key: str = "tweet_id") -> DataFrame:
@@ -24,9 +26,11 @@ def tag_by_token_rules(tokens: DataFrame, rules: DataFrame, token: str, key: str
     split the partition of a token that a third of all posts contain. Give tokens that are distinct
     per post; copies cost time but do not change the result.
     """
-    values = rules.select("value", "tag")
+    values = rules.groupBy("value").agg(F.collect_set("tag").alias("tags"))
     hits = tokens.select(key, token).join(values, tokens[token] == values["value"])
-    return hits.select(key, "tag").distinct()
+    # Tags of a value come as one array, so a token with many tags does not multiply its posts.
+    found = hits.groupBy(key).agg(F.array_distinct(F.flatten(F.collect_set("tags"))).alias("tags"))
+    return found.select(key, F.explode("tags").alias("tag"))
 
 
 def containing_any(posts: DataFrame, wanted: Iterable[str]) -> DataFrame:

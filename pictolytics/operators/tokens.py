@@ -73,7 +73,7 @@ def any_variant(tokens: DataFrame, pattern: str, token: str = "emoji") -> DataFr
 
 
 def explode_variants(posts: DataFrame, base: str, per_post: bool = True, text: str = "text") -> DataFrame:
-    """The emoji that contain a base emoji, such as all tones of one gesture.
+    """The emoji that contain a base emoji, such as all tones of one gesture; see ``any_variant`` for a pattern.
 
     Only texts with the base's first character are cut, a plain substring test for all others.
     """

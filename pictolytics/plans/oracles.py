@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pictolytics.functions.patterns import EMOJI_PATTERN, FACE_EMOJI, PRESENTATION_SELECTOR, TONE_PATTERN
-from pictolytics.plans.registry import BASE, FOLLOWERS, PER_SLOT, RULES, SPAN_DAYS, STEP_MINUTES
+from pictolytics.plans.registry import BASE, FOLLOWERS, PER_SLOT, REGEX, RULES, SPAN_DAYS, STEP_MINUTES
 from pictolytics.sources.derived import AUTHOR_EXPRESSIONS, POST_EXPRESSIONS
 from pictolytics.sources.schemas import AUTHOR_COLUMNS, POST_COLUMNS
 
@@ -70,6 +70,7 @@ _FACES = ", ".join(f"'{f.replace(PRESENTATION_SELECTOR, '')}'" for f in FACE_EMO
 _FAMOUS = f"""SELECT emoji, count(*) AS total FROM once JOIN authors ON author_id = user_id
     WHERE followers_count > {FOLLOWERS} GROUP BY emoji"""
 _VARIANTS = f"SELECT emoji, count(*) AS total FROM once WHERE contains(emoji, '{BASE}') GROUP BY emoji"
+_MATCHING = f"SELECT emoji, count(*) AS total FROM once WHERE regexp_matches(emoji, '{REGEX}') GROUP BY emoji"
 _BASE = f"regexp_replace(emoji, '{TONE_PATTERN}', '', 'g')"
 _TONE = f"regexp_extract(emoji, '({TONE_PATTERN})', 1)"
 _NO_TEXT = ", ".join(c for c in POST_COLUMNS if c != "text")
@@ -126,7 +127,7 @@ ORACLES: dict[str, str] = {
         "authors",
     ),
     "posts_with_authors_dealt": _sql(
-        f"""SELECT {", ".join("posts." + c for c in _NO_TEXT.split(", "))}, authors.* FROM posts
+        """SELECT posts.*, authors.* FROM posts
             JOIN authors ON author_id = user_id WHERE NOT starts_with(text, 'RT')""",
         "posts",
         "authors",
@@ -177,6 +178,17 @@ ORACLES: dict[str, str] = {
             {", ".join(POST_COLUMNS[2:])} FROM posts""",
         "posts",
     ),
+    "pages_lineage": _sql(
+        """SELECT CAST(tweet_id AS VARCHAR) AS tweet_id, CAST(tweet_id // 100 AS VARCHAR) AS page_token,
+            first(time) OVER (PARTITION BY tweet_id // 100 ORDER BY CAST(tweet_id AS VARCHAR)) AS page_time FROM posts""",
+        "posts",
+    ),
+    "record_author_arrays": _sql(
+        """SELECT CAST(posts.tweet_id AS VARCHAR) AS tweet_id, name, username,
+            CAST(followers_count AS VARCHAR) AS followers_count FROM posts JOIN authors ON author_id = user_id""",
+        "posts",
+        "authors",
+    ),
     "pages_authors": _sql(
         f"""SELECT CAST(user_id AS VARCHAR) AS user_id, {", ".join(AUTHOR_COLUMNS[1:])} FROM authors
             WHERE user_id IN (SELECT author_id FROM posts)""",
@@ -193,6 +205,19 @@ ORACLES: dict[str, str] = {
             GROUP BY ALL""",
         "tokens",
     ),
+    "regex_emoji": _sql(_MATCHING, "once"),
+    "regex_emoji_stream": _sql(_MATCHING, "once"),
+    "hourly_emoji_stream_open": _sql(
+        "SELECT date_trunc('hour', time) AS window_start, emoji, count(*) AS n FROM tokens GROUP BY ALL", "tokens"
+    ),
+    "sql_functions": _sql(
+        f"""SELECT regexp_replace(e, '{TONE_PATTERN}', '', 'g') AS base, regexp_extract(e, '({TONE_PATTERN})', 1) AS tone,
+            count(*) AS n FROM (SELECT {_CUT} AS e FROM posts) GROUP BY ALL""",
+        "posts",
+    ),
+    "long_chain_emoji": _sql(
+        "SELECT tweet_id, CAST(2 * length(text) + 1 AS INTEGER) AS n_chars FROM posts", "posts"
+    ),
     "words_top": _sql("SELECT word, count(*) AS usage FROM doc_words GROUP BY word", "doc_words"),
     "words_lang_compare": _sql(_compare("lang", "es", "en", "word", "doc_words"), "doc_words"),
     "words_role_compare": _sql(_compare("role", "user", "assistant", "word", "talk_words"), "talk_words"),

@@ -28,16 +28,19 @@ def emoji_of(
     lang: str | None = None,
     keep_reposts: bool = False,
     known_authors: DataFrame | None = None,
+    per_post: bool = False,
+    normalize: str = "strip_vs",
+    repost_prefix: str = "RT",
 ) -> DataFrame:
     """The emoji table: one row per emoji of the chosen posts, with all columns of its post.
 
     ``known_authors`` keeps only posts of these authors. Author columns are not added, so no
     author can multiply a post.
     """
-    chosen = T.select_posts(posts, lang, keep_reposts)
+    chosen = T.select_posts(posts, lang, keep_reposts, repost_prefix)
     if known_authors is not None:
         chosen = A.with_authors(chosen, known_authors.select("user_id").distinct(), "left_semi")
-    return T.explode_emoji(chosen)
+    return T.explode_emoji(chosen, normalize, per_post)
 
 
 def most_used(tokens: DataFrame, token: str = "emoji", limit: int | None = None) -> DataFrame:
@@ -92,9 +95,15 @@ def used_by_followed_authors(posts: DataFrame, authors: DataFrame, threshold: in
     return A.usage_by_followed(tokens, authors, threshold, "emoji", "total").orderBy(F.desc("total"), "emoji")
 
 
-def variants_of(posts: DataFrame, base: str) -> DataFrame:
-    """Variants of a base emoji, each counted once per post, with base and tone told apart."""
-    found = T.explode_variants(posts, base)
+def variants_of(posts: DataFrame, base: str, regex: bool = False) -> DataFrame:
+    """Variants of a base emoji, each counted once per post, with base and tone told apart.
+
+    With ``regex``, ``base`` is a regular expression, and every emoji it is found in counts.
+    """
+    if regex:
+        found = T.any_variant(T.explode_emoji(posts, per_post=True), base)
+    else:
+        found = T.explode_variants(posts, base)
     totals = T.split_tone(C.count_by(found, ["emoji"], "total"))
     return totals.orderBy(F.desc("total"), "emoji")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pictolytics.functions.patterns import FACE_EMOJI
+from pictolytics.functions.text import register_sql_functions
 from pictolytics.operators import authors as A
 from pictolytics.operators import counts as C
 from pictolytics.operators import tagging as G
@@ -32,8 +33,9 @@ PER_SLOT = 3
 SPAN_DAYS = 31
 STEP_MINUTES = 30
 RULES = [("👍", "approval"), ("🙏", "thanks"), ("❤", "affection"), ("😍", "affection"), ("RT @", "repost"), (" and 🎉", "party")]
-# No post of the test tables is later than this after another one, so nothing counts as late.
-ANY_DELAY = "40 days"
+REGEX = "🙏|👍"
+# The landed files hold posts of all times, so that triggers do not come in the order of time.
+FILES, FILES_PER_TRIGGER = 8, 3
 
 
 def query(f: Query) -> Query:
@@ -140,6 +142,33 @@ def variant_emoji(spark, folder):
     return Q.variants_of(D.posts(spark, folder), BASE)
 
 
+@query
+def regex_emoji(spark, folder):
+    """Emoji that a regular expression finds, once per post."""
+    return Q.variants_of(D.posts(spark, folder), REGEX, regex=True).select("emoji", "total")
+
+
+@query
+def sql_functions(spark, folder):
+    """The functions offered to SQL, on the posts' texts."""
+    register_sql_functions(spark)
+    D.posts(spark, folder).createOrReplaceTempView("pictolytics_posts")
+    return spark.sql(
+        "SELECT base_emoji(e) AS base, emoji_tone(e) AS tone, count(*) AS n FROM (SELECT explode(found) AS e "
+        "FROM (SELECT emoji_tokens(text) AS found FROM pictolytics_posts)) GROUP BY ALL"
+    )
+
+
+@query
+def long_chain_emoji(spark, folder):
+    """Posts with a chain of joined emoji as long as their document: each chain is one token."""
+    chained = D.posts(spark, folder).withColumn(
+        "text", F.concat(F.lit("a "), F.expr("repeat('👩‍', length(text))"), F.lit("👩"))
+    )
+    tokens = T.explode_emoji(chained.select("tweet_id", "text"))
+    return tokens.select("tweet_id", F.char_length("emoji").alias("n_chars"))
+
+
 # Authors
 
 
@@ -164,8 +193,8 @@ def posts_with_authors(spark, folder):
 @query
 def posts_with_authors_dealt(spark, folder):
     """The same join by the way taken for author tables too large to broadcast."""
-    posts = T.select_posts(D.posts(spark, folder)).drop("text")
-    return _plain(A.with_authors(posts, D.authors(spark, folder), few_authors=0), "time")
+    posts = T.select_posts(D.posts(spark, folder))
+    return _plain(A.with_authors_dealt(posts, D.authors(spark, folder)), "time")
 
 
 @query
@@ -231,6 +260,22 @@ def pages_roundtrip(spark, folder):
     return _plain(A.unique_posts(P.flatten_posts(_landed_pages(spark, folder))), "time")
 
 
+@query
+def pages_lineage(spark, folder):
+    """Posts with the cursor and the time of their page."""
+    posts = P.flatten_posts(_landed_pages(spark, folder), lineage=True)
+    return _plain(posts.select("tweet_id", "page_token", "page_time"), "page_time")
+
+
+@query
+def record_author_arrays(spark, folder):
+    """Post and author fields of landed records, the authors of a record as arrays."""
+    records = P.pack_records(D.posts(spark, folder), D.authors(spark, folder))
+    landed = R.read_records(spark, R.write_landing(records, shared_dir(spark, "records"), 100_000))
+    joined = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("name", "username", "followers_count")]
+    return R.author_arrays(landed).select("tweet_id", *joined)
+
+
 @query
 def pages_authors(spark, folder):
     """Authors of the JSON pages; each is listed on every page that has one of their posts."""
@@ -247,18 +292,34 @@ def top_emoji_from_table(spark, folder):
 # Streams
 
 
+def _landed_stream(spark: SparkSession, folder: str) -> DataFrame:
+    records = P.pack_records(D.posts(spark, folder), D.authors(spark, folder))
+    shuffled = records.repartition(FILES, F.xxhash64("data.id"))
+    landing = R.write_landing(shuffled, shared_dir(spark, "landing"), 1_000_000)
+    return R.flatten_records(R.read_record_stream(spark, landing, FILES_PER_TRIGGER))
+
+
 @query
 def famous_emoji_stream(spark, folder):
     """Posts landed as JSON lines and followed as a stream."""
-    records = P.pack_records(D.posts(spark, folder), D.authors(spark, folder))
-    landing = R.write_landing(records, shared_dir(spark, "landing"))
-    posts = R.flatten_records(R.read_record_stream(spark, landing))
-    return run.totals_so_far(live.live_famous(posts, FOLLOWERS, ANY_DELAY))
+    return run.totals_so_far(live.live_famous(_landed_stream(spark, folder), FOLLOWERS))
 
 
 @query
 def variant_emoji_stream(spark, folder):
-    return run.totals_so_far(live.live_variants(D.post_stream(spark, folder), BASE, ANY_DELAY))
+    return run.totals_so_far(live.live_variants(_landed_stream(spark, folder), BASE))
+
+
+@query
+def regex_emoji_stream(spark, folder):
+    return run.totals_so_far(live.live_variants(_landed_stream(spark, folder), REGEX, regex=True))
+
+
+@query
+def hourly_emoji_stream_open(spark, folder):
+    """All hours, open ones too, whatever the order of the files."""
+    windows = live.live_windows_open(_landed_stream(spark, folder), 3600, once=True)
+    return _plain(run.totals_so_far(windows), "window_start")
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,11 +19,20 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the shared folder that the session names.
 
-    A machine-local folder is used only where no folder is named and Spark itself is local.
+    Where no folder is named and Spark itself is local, as in tests, a temporary folder takes its place
+    until the program ends; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="pictolytics-")
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _local_root(made: list[str] = []) -> str:
+    """One temporary folder per program, removed at its end."""
+    if not made:
+        made.append(tempfile.mkdtemp(prefix="pictolytics-"))
+        atexit.register(shutil.rmtree, made[0], ignore_errors=True)
+    return made[0]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The fields of the public JSON and the names of the flat columns.
 _POST = """
     struct<author_id: string, created_at: string, id: string, lang: string, text: string, withheld: string,
            public_metrics: struct<like_count: bigint, quote_count: bigint, reply_count: bigint,

@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_token_table(tokens: DataFrame, path: str, time: str = "time") -> str:
-    """Append tokens to parquet by ``token_date``, without the text they came from.
+def write_token_table(tokens: DataFrame, path: str, time: str = "time", mode: str = "overwrite") -> str:
+    """Write tokens to parquet by ``token_date``, without the text they came from.
+
+    A rerun replaces the dates it writes and leaves the others; ``mode="append"`` adds to them.
 
     The rebalance hint makes files of even size: it splits a date that holds much of the data and
     gathers the small ones, which a plain repartition by date would not.
     """
     dated = tokens.drop("text").withColumn("token_date", F.to_date(time))
-    dated.hint("rebalance", "token_date").write.partitionBy("token_date").mode("append").parquet(path)
+    dated.hint("rebalance", "token_date").write.partitionBy("token_date").option(
+        "partitionOverwriteMode", "dynamic"
+    ).mode(mode).parquet(path)
     return path
 
 

@@ -1,8 +1,9 @@
 """Running counts over a stream of posts. Columns are those of the batch twins.
 
-State grows with what a query must remember: one key per post within ``delay`` for the removal of
-copies, and one row per emoji for the totals. With ``delay=None`` copies are remembered for ever,
-as the plain definition of distinct asks; use it only on streams of bounded length.
+No post is lost by default: copies are remembered for ever, as the plain definition of distinct asks, at
+the cost of one key per post in the state. With a ``delay`` the state is bounded, and Spark drops the posts
+that come later than that after newer ones; ``run.totals_so_far`` tells how many those were. Posts without
+an id are no copies of each other and all count.
 
 Reposts and languages are chosen beforehand with ``operators.tokens.select_posts``, as in batch.
 """
@@ -16,7 +17,7 @@ from pictolytics.functions.patterns import PRESENTATION_SELECTOR
 from pictolytics.operators.tokens import distinct_emoji, explode_emoji, select_posts
 
 
-def live_famous(posts: DataFrame, threshold: int, delay: str | None = "1 day") -> DataFrame:
+def live_famous(posts: DataFrame, threshold: int, delay: str | None = None) -> DataFrame:
     """Totals per emoji over the posts of authors with more than ``threshold`` followers.
 
     ``posts`` carries ``followers_count`` of its author, as a flattened record does.
@@ -25,8 +26,10 @@ def live_famous(posts: DataFrame, threshold: int, delay: str | None = "1 day") -
     return _totals(_emoji_once_per_post(followed, delay))
 
 
-def live_variants(posts: DataFrame, base: str, delay: str | None = "1 day") -> DataFrame:
-    """Totals per variant of a base emoji."""
+def live_variants(posts: DataFrame, base: str, delay: str | None = None, regex: bool = False) -> DataFrame:
+    """Totals per variant of a base emoji, or per emoji that a regular expression finds (``regex``)."""
+    if regex:
+        return _totals(_emoji_once_per_post(posts, delay, lambda e: e.rlike(base)))
     possible = posts.where(F.contains(F.col("text"), F.lit(base[0])))
     plain = base.replace(PRESENTATION_SELECTOR, "")
     tokens = _emoji_once_per_post(possible, delay, lambda e: F.contains(e, F.lit(plain)))
@@ -48,6 +51,21 @@ def live_windows(posts: DataFrame, width: str = "1 hour", delay: str = "1 hour")
     )
 
 
+def live_windows_open(posts: DataFrame, seconds: int = 3600, once: bool = False) -> DataFrame:
+    """Occurrences per emoji and window of a fixed length, open windows too, however late a post is.
+
+    Totals for ``run.totals_so_far``. ``once`` removes copies of a post id first.
+    """
+    originals = select_posts(posts)
+    if once:
+        named = originals.where(F.col("tweet_id").isNotNull()).dropDuplicates(["tweet_id"])
+        originals = named.unionByName(originals.where(F.col("tweet_id").isNull()))
+    micros = seconds * 1_000_000
+    start = F.timestamp_micros(F.unix_micros("time") - F.pmod(F.unix_micros("time"), F.lit(micros)))
+    tokens = explode_emoji(originals.where(F.col("time").isNotNull()))
+    return tokens.groupBy(start.alias("window_start"), "emoji").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _emoji_once_per_post(posts: DataFrame, delay: str | None, keep=None) -> DataFrame:
     """One row per post and emoji.
 
@@ -57,12 +75,15 @@ def _emoji_once_per_post(posts: DataFrame, delay: str | None, keep=None) -> Data
     found: Column = distinct_emoji(F.col("text"))
     if keep is not None:
         found = F.filter(found, keep)
-    narrow = posts.select("tweet_id", "time", found.alias("found")).where(F.size("found") > 0)
-    if delay is None:
-        once = narrow.dropDuplicates(["tweet_id"])
-    else:
-        once = narrow.withWatermark("time", delay).dropDuplicatesWithinWatermark(["tweet_id"])
-    return once.select("tweet_id", F.explode("found").alias("emoji"))
+    # No filter on the found emoji, nor an explode that implies one: it would be pushed below and cut every
+    # text twice.
+    narrow = posts.select("tweet_id", "time", found.alias("found"))
+    if delay is not None:
+        narrow = narrow.withWatermark("time", delay)
+    named, unnamed = narrow.where(F.col("tweet_id").isNotNull()), narrow.where(F.col("tweet_id").isNull())
+    once = named.dropDuplicates(["tweet_id"]) if delay is None else named.dropDuplicatesWithinWatermark(["tweet_id"])
+    tokens = once.unionByName(unnamed).select("tweet_id", F.explode_outer("found").alias("emoji"))
+    return tokens.where(F.col("emoji").isNotNull())
 
 
 def _totals(tokens: DataFrame) -> DataFrame:

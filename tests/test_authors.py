@@ -1,3 +1,5 @@
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,8 +18,7 @@ def skewed(make_posts):
 def test_dealt_join_equals_the_plain_one(skewed, make_authors, how):
     authors = make_authors({1: 10, 2: 20, 3: 30, 4: 40, 5: 50})
     plain = skewed.join(authors, skewed["author_id"] == authors["user_id"], how)
-    for few in (0, 1000):
-        joined = A.with_authors(skewed, authors, how, hot_share=0.05, few_authors=few)
+    for joined in (A.with_authors(skewed, authors, how), A.with_authors_dealt(skewed, authors, how, hot_share=0.05)):
         assert joined.columns == plain.columns
         assert sorted(joined.collect(), key=str) == sorted(plain.collect(), key=str)
 
@@ -33,12 +34,25 @@ def test_dealt_join_spreads_a_hot_author(skewed, make_authors, with_conf):
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__shuffle__partitions="64",
     )
-    joined = A.with_authors(skewed, make_authors({1: 10, 2: 20}), hot_share=0.05, few_authors=0)
+    joined = A.with_authors_dealt(skewed, make_authors({1: 10, 2: 20}), hot_share=0.05)
     sizes = joined.where("author_id = 1").groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in sizes) == 60
     assert max(r["count"] for r in sizes) < 30
 
 
+def test_building_the_join_runs_no_job(spark, skewed, make_authors):
+    group = f"lazy-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "lazy")
+    A.with_authors(skewed, make_authors({1: 10}))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_posts_without_an_id_stay_apart(make_posts):
+    posts = make_posts([{"tweet_id": None}, {"tweet_id": None}, {"tweet_id": 1}, {"tweet_id": 1}])
+    assert A.unique_posts(posts).count() == 3
+
+
 def test_join_type_is_checked(skewed, make_authors):
     with pytest.raises(ValueError):
         A.with_authors(skewed, make_authors({1: 1}), "full")

@@ -6,6 +6,8 @@ from check import compare, connect
 from conftest import TABLES
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pictolytics.plans.oracles import ORACLES
+from pictolytics.plans.registry import REGISTRY
 
 
 @pytest.fixture(scope="module")
@@ -13,13 +15,14 @@ def db() -> duckdb.DuckDBPyConnection:
     return connect(TABLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_its_sql(spark, db, name):
     assert compare(spark, db, TABLES, name).startswith("equal")
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
+    assert set(REGISTRY) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

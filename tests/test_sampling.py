@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -73,3 +74,20 @@ def test_large_samples_rank_in_pieces_first(posts, with_conf):
 def test_now_may_be_a_column(posts):
     latest = posts.agg(F.max("time")).scalar()
     assert Q.historical_sample(posts, latest, per_slot=1).count() > 0
+
+
+def test_a_naive_now_is_utc_wherever_the_driver_is(spark, make_posts, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        ends = S.slot_grid(spark, datetime(2024, 1, 1, 12), 30, 1).where("slot = 0").select(F.unix_micros("slot_end")).first()[0]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert ends == (1704110400 - 10) * 1_000_000
+
+
+def test_minute_grid_over_a_year(spark, make_posts):
+    posts = make_posts([{"tweet_id": i, "time": f"2024-{1 + i % 12:02d}-01T00:00:00Z"} for i in range(240)])
+    found = Q.historical_sample(posts, datetime(2024, 12, 31), 1, 365, 3, bounded=False)
+    assert found.count() == found.select("slot", "position").distinct().count() > 1_000_000

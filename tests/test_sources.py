@@ -141,3 +141,17 @@ def test_token_table_reads_only_the_dates_asked_for(spark, make_posts, tmp_path)
     some = read_token_table(spark, path, "2024-01-02", "2024-01-02")
     assert "text" not in some.columns and some.count() == 4
     assert "PartitionFilters: [isnotnull(token_date" in plan_of(some)
+
+
+def test_broken_lines_are_returned(spark, tmp_path):
+    lines = ['{"data": {"id": "1", "text": "x"}}', "", '{"data": {"id": ', "no json at all"]
+    (tmp_path / "records.json").write_text("\n".join(lines))
+    assert sorted(r.line for r in R.broken_lines(spark, str(tmp_path)).collect()) == sorted(lines[2:])
+
+
+def test_a_rerun_replaces_the_dates_it_writes(spark, make_posts, tmp_path):
+    tokens = emoji_of(make_posts([{"tweet_id": 1}, {"tweet_id": 2, "time": "2024-01-02T00:00:00Z"}]))
+    path = str(tmp_path / "tokens")
+    write_token_table(tokens, path)
+    write_token_table(tokens.where("tweet_id = 1"), path)
+    assert read_token_table(spark, path).count() == 2

@@ -142,3 +142,16 @@ def test_rules_and_search(spark, make_posts):
     rules = spark.createDataFrame([("cats", "pet"), ("cats", "soft"), ("birds", "pet"), ("fish", "wet")], "value string, tag string")
     found = G.tag_by_token_rules(T.explode_words(posts), rules, "word").collect()
     assert sorted(map(tuple, found)) == [(1, "pet"), (1, "soft"), (2, "pet"), (2, "soft"), (3, "pet")]
+
+
+def test_texts_of_any_length_return(spark):
+    unit = "\U0001F469\u200D"
+    texts = {
+        1: unit * 50_000 + "\U0001F469",
+        2: "\U0001F3F4" + "\U000E0067" * 50_000 + "\U000E007F",
+        3: "\U0001F1EA\U0001F1F8" * 50_000,
+        4: (unit + "x1\uFE0F\u20E3\U0001F3FD ") * 500_000,
+    }
+    df = spark.createDataFrame(list(texts.items()), "id int, text string")
+    sizes = {r.id: r.n for r in df.select("id", F.size(X.emoji_tokens(F.col("text"))).alias("n")).collect()}
+    assert sizes == {1: 1, 2: 1, 3: 50_000, 4: 1_000_000}
