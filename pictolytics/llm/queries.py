@@ -16,8 +16,6 @@ REGISTRY: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 CATEGORIES = ("quality", "toxic")
-#: Toxic words are rare in a text, so the classes lie apart well below one half.
-TOXIC = 0.25
 
 
 def query(f: Query) -> Query:
@@ -41,7 +39,7 @@ def op10_toxicity(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     chain = toxicity.fit_chain(docs, table(spark, folder, "labels"), CATEGORIES)
     scored = toxicity.score_chain(docs, chain)
-    return scored.select("doc_id", "p_quality", "p_toxic", (F.col("p_toxic") >= TOXIC).alias("toxic"))
+    return scored.select("doc_id", "p_quality", "p_toxic", (F.col("p_toxic") >= chain.thresholds["toxic"]).alias("toxic"))
 
 
 @query
