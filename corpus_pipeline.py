@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pictolytics.llm import decontamination, jaccard, packing, secrets, toxicity
 from pictolytics.llm.common import landed, table
-from pictolytics.llm.queries import CATEGORIES, TOXIC
+from pictolytics.llm.queries import CATEGORIES
 
 #: The classifiers, the joins and the packing have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -22,7 +22,7 @@ ORACLE_SQL = None
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
     chain = toxicity.fit_chain(docs, table(spark, sf_dir, "labels"), CATEGORIES)
-    return toxicity.score_chain(docs, chain).where(F.col("p_toxic") < TOXIC).select(*docs.columns)
+    return toxicity.score_chain(docs, chain).where(F.col("p_toxic") < chain.thresholds["toxic"]).select(*docs.columns)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
