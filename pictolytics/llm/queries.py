@@ -127,3 +127,32 @@ def op1_url_filters(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url")
     model = urls.fit_urls(pages, "url", urls.label_by_rules(URL_RULES))
     return urls.judge_urls(pages, "url", URL_RULES, model).drop("url")
+
+# SHA-1 in base 32: five bits at a time, out of two hexadecimal digits.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+  (CAST('0x' || substr(s || '0', 1 + (5 * i) // 4, 2) AS INTEGER) >> CAST(3 - (5 * i) % 4 AS INTEGER)) & 31 AS BIGINT), 1)), '')"""
+
+ORACLES["op4_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS s, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
+FROM d
+"""
+
+ORACLES["op5_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(len(ws) - 4), lambda i: array_to_string(ws[i + 1:i + 5], ' ')) END)) AS sh FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, e.b FROM reach JOIN e ON e.a = reach.r)
+SELECT d AS doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = reach.d GROUP BY d
+"""
