@@ -21,7 +21,6 @@ groups are found: pairs within a group that is connected already need no look.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +36,10 @@ NUMERATOR, DENOMINATOR = 75, 100
 BITS = 1024
 WORDS = BITS // 64
 LEADERS = 4
-KNOWN = 300_000
 SEEN = 500_000
 SATURATED = 4096
 PORTION = 500_000
+BROADCAST_IDS = 1_000_000
 
 _M = (1 << 64) - 1
 
@@ -63,14 +62,33 @@ def _mix(x: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept in a dictionary of a bounded size."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of all texts, and how many words each text has.
+
+    A word's hash is the sum of hashes of its bytes at their places; all texts are hashed at once.
+    """
+    parts = [(t or "").encode("utf-8", "replace").lower() for t in texts]
+    raw = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
+    space = _SPACE[raw]
+    at = np.flatnonzero(~space)
+    if not len(at):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    begins = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+    size = np.diff(np.r_[begins, len(at)])
+    place = np.arange(len(at), dtype=np.uint64) - np.repeat(begins, size).astype(np.uint64)
+    x = raw[at].astype(np.uint64) + (place << np.uint64(8))
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    h = _mix(np.add.reduceat(x, begins), 11)
+    ends = np.cumsum([len(p) + 1 for p in parts])  # of the texts, in bytes
+    upto = np.searchsorted(at[begins], ends)
+    return h, np.diff(np.r_[0, upto])
 
 
 class Sets:
@@ -121,13 +139,9 @@ class Sets:
         return owner, filled - first[owner], value[filled]
 
 
-def shingle_sets(texts: list[str | None], known: WordHashes, size: int = SHINGLE) -> Sets:
+def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> Sets:
     """Distinct 64-bit hashes of the word shingles; a shorter text is one shingle, an empty one none."""
-    if len(known) > KNOWN:
-        known.clear()
-    words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
-    n = np.array([len(w) for w in words], np.int64)
-    h = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, int(n.sum()))
+    h, n = _word_hashes(texts)
     at = np.r_[0, np.cumsum(n)]
 
     def hashed(h: np.ndarray, span: int) -> np.ndarray:
@@ -207,10 +221,9 @@ def _described(docs: DataFrame, size: int) -> DataFrame:
     schema = pa.schema([(x, pa.int64()) for x in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for b in batches:
             for ids, texts in _portions(b):
-                sets = shingle_sets(texts, known, size)
+                sets = shingle_sets(texts, size)
                 columns = [ids, pa.array(sets.n), *map(pa.array, sets.digests())]
                 for tag, prefix, owner, _ in _keys(sets):
                     free = prefix - np.bincount(owner, minlength=len(tag))
@@ -225,10 +238,10 @@ def _emitted(docs: DataFrame, size: int) -> DataFrame:
     """(key, id) of every document; a task leaves out sets that it has emitted lately."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = WordHashes(), set()
+        seen: set[tuple] = set()
         for b in batches:
             for ids, texts in _portions(b):
-                sets, new = shingle_sets(texts, known, size), []
+                sets, new = shingle_sets(texts, size), []
                 for i, same in enumerate(zip(sets.n.tolist(), *(d.tolist() for d in sets.digests()), strict=True)):
                     if same[0] and same not in seen:
                         seen.add(same)
@@ -317,10 +330,9 @@ def _may_link(a: str, b: str) -> Column:
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for b in batches:
             for ids, texts in _portions(b):
-                sets = shingle_sets(texts, known, size)
+                sets = shingle_sets(texts, size)
                 found = [sets[i].tobytes() for i in range(len(texts))]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.binary())], ["_id", "h"])
 
@@ -367,7 +379,10 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     shared = landed(_shared(_emitted(texts, size)), "shared-parts")
     rows = landed(_prefixes(shared, described), "prefixes")
     about = landed(described.join(rows.select("_id").distinct(), "_id", "left_semi").select("_id", "n", *_SKETCH), "sketches")
-    sets = landed(_sets(texts, about.select("_id"), size), "shingles")
+    # Few ids go to where the texts are (16 MB at most); with more of them the texts are shuffled, once.
+    wanted = about.select("_id")
+    wanted = F.broadcast(wanted) if about.count() <= BROADCAST_IDS else wanted
+    sets = landed(_sets(texts, wanted, size), "shingles")
 
     # Equal sets are stars already: every copy beside the first of its set.
     groups = same.select(F.col("a").alias("node"), F.col("b").alias("component"))
