@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,8 @@ def spherical_kmeans(x: np.ndarray, k: int, steps: int = 12, seed: int = 7) -> n
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=np.float64).reshape(-1, size)
+    """Rows of a list column without nulls, taken over as they lie in memory."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -89,7 +91,7 @@ def near_vectors(
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes = np.array([len(v) for v in b.column(2)])
+            sizes = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 part = b.take(pa.array(at))
@@ -128,8 +130,8 @@ def near_vectors(
 
     def compare(t: pa.Table) -> pa.Table:
         ids, copies = t["_first"].to_numpy(), t["_copies"].to_numpy()
-        x = np.array(t["_v"].to_pylist(), np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = _matrix(t["_v"].combine_chunks(), t["_size"][0].as_py())
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
         block, guest = t["_b"].to_numpy(), t["_guest"].to_numpy(zero_copy_only=False)
         first, second = t["_x"][0].as_py(), t["_y"][0].as_py()
         near = x @ x.T >= cosine
