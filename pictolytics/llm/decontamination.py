@@ -2,7 +2,8 @@
 
 Numbers, names and units become typed placeholders, windows of the resulting template are joined by
 hash with those of the benchmark, and what stood in the placeholders must be consistent: one value of
-the question goes with one value of the document, and the other way round.
+the question goes with one value of the document, and the other way round. Windows of the lower-cased
+words themselves are joined as well: they find copies in which case or line breaks hide the names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ UNITS = (
 
 def _marked(text: Column) -> Column:
     """Words parted by one space, lower-cased; numbers, names and units carry a mark in front."""
-    t = F.coalesce(text, F.lit(""))
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\p{Z}\x01-\x04]+", " ")
     has_digits = F.regexp_like(t, F.lit(r"[0-9]"))
     t = F.regexp_replace(t, r"(?=\p{Lu})(?<=[\p{Ll},;] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])", "\x02$0")
     digits = F.regexp_replace(t, r"(?<=[0-9])[.,:/](?=[0-9])", "\x04")
@@ -40,19 +41,29 @@ def _marked(text: Column) -> Column:
     return F.when(has_digits, units).otherwise(t)
 
 
-def _template(marked: Column) -> Column:
-    return F.split(F.regexp_replace(marked, r"([\x01-\x03])[^ ]+", "$1"), " ")
+def _hashes(words: Column, size: int, plain: bool) -> Column:
+    """Position and hash of every window of so many words; ``plain``: of the words themselves."""
+    last = F.size(words) - size
+    return F.transform(
+        F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>")),
+        lambda i: F.struct(i.alias("pos"), F.xxhash64(*[F.get(words, i + j) for j in range(size)]).alias("hash"), F.lit(plain).alias("plain")),
+    )
 
 
 def _windows(df: DataFrame, size: int, *keys: str) -> DataFrame:
-    """keys, position and hash of every template window of the column ``_marked``."""
-    words = df.select(*keys, _template(F.col("_marked")).alias("_t"))
-    last = F.size("_t") - size
-    hashes = F.transform(
-        F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>")),
-        lambda i: F.xxhash64(*[F.get(F.col("_t"), i + j) for j in range(size)]),
+    """keys, position, hash and kind of the windows of the column ``_marked``: of its words, and of its template.
+
+    A template window with a placeholder equals no window of words, so both kinds share one column.
+    """
+    has_marks = F.regexp_like("_marked", F.lit(r"[\x01-\x03]"))
+    cut = df.select(
+        *keys,
+        F.split(F.translate("_marked", "\x01\x02\x03", ""), " ").alias("_w"),
+        F.when(has_marks, F.split(F.regexp_replace("_marked", r"([\x01-\x03])[^ ]+", "$1"), " ")).alias("_t"),
     )
-    return words.select(*keys, F.posexplode(hashes).alias("_pos", "_hash"))
+    template = F.coalesce(_hashes(F.col("_t"), size, False), F.array().cast("array<struct<pos:int,hash:bigint,plain:boolean>>"))
+    found = cut.select(*keys, F.explode(F.concat(_hashes(F.col("_w"), size, True), template)).alias("_x"))
+    return found.select(*keys, F.col("_x.pos").alias("_pos"), F.col("_x.hash").alias("_hash"), F.col("_x.plain").alias("_plain"))
 
 
 def _identity(key: str, text: str) -> Column:
@@ -83,57 +94,57 @@ def find_leaks(
     items = items.select("_item", F.xxhash64("_text").alias("_same"), _marked(F.col("_text")).alias("_marked"))
     words = F.split("_marked", " ")
     slots = F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda j: F.struct(j.alias("j"), F.get(words, F.col("_pos") + j).alias("was"))),
+        F.transform(F.sequence("_pos", F.col("_pos") + size - 1), lambda q: F.struct(q.alias("q"), F.get(words, q).alias("was"))),
         lambda s: s["was"].rlike(r"^[\x01-\x03]"),
     )
     asked = _windows(items, size, "_item", "_same", "_marked")
-    asked = asked.select("_item", "_same", F.size(words).alias("_n"), F.col("_pos").alias("_at"), "_hash", slots.alias("_slots"))
-    asked = asked.where(F.size("_slots") <= size - least_literal)
+    asked = asked.select("_item", "_same", F.size(words).alias("_n"), F.col("_pos").alias("_at"), "_hash", "_plain", slots.alias("_slots"))
+    asked = asked.where(F.col("_plain") | F.size("_slots").between(1, size - least_literal))
     index = F.broadcast(asked) if asked.count() <= BROADCAST_WINDOWS else asked
 
     texts = docs.select(F.col(key).alias("_id"), _identity(key, text).alias("_doc"), _marked(F.col(text)).alias("_marked"))
-    hits = _windows(texts, size, "_id", "_doc").join(index, "_hash").drop("_hash")
+    hits = _windows(texts, size, "_id", "_doc").drop("_plain").join(index, "_hash").drop("_hash")
     hits = hits.withColumn("_line", F.col("_pos") - F.col("_at"))
 
     pair = ["_id", "_doc", "_item", "_same", "_n"]
     lines = hits.groupBy(*pair, "_line").agg(
-        F.collect_set("_at").alias("_ats"),  # at most the item's windows
-        F.collect_set(F.when(F.size("_slots") == 0, F.col("_at"))).alias("_plain"),
-        F.array_distinct(
-            F.flatten(F.collect_set(F.transform("_slots", lambda s: F.struct((F.col("_pos") + s["j"]).alias("p"), s["was"].alias("was")))))
-        ).alias("_slots"),
+        F.collect_set(F.when(F.col("_plain"), F.col("_at"))).alias("_words"),  # at most the item's windows
+        F.collect_set(F.when(~F.col("_plain"), F.col("_at"))).alias("_ats"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("_plain"), F.col("_slots"))))).alias("_slots"),
     )
     # Written once: the texts are cut here, and what follows knows how little there is.
     lines = landed(lines, "template-lines")
-    filled = lines.where(F.size("_slots") > 0).select("_doc", "_item", "_same", "_line", F.explode("_slots").alias("s"))
+    line = ["_doc", "_item", "_same", "_line"]
+    filled = lines.where(F.size("_slots") > 0).select(*line, F.explode("_slots").alias("s"))
     # Few lines have placeholders; only their documents are looked at again.
     again = texts.join(filled.select("_doc").distinct(), "_doc", "left_semi").select("_doc", "_marked").distinct()
-    found = filled.join(again, "_doc").select(
-        "_doc", "_item", "_same", "_line", F.col("s.was").alias("was"), F.get(F.split("_marked", " "), F.col("s.p")).alias("now")
-    )
-    judged = found.groupBy("_doc", "_item", "_same", "_line").agg(
+    now = F.get(F.split("_marked", " "), F.col("_line") + F.col("s.q"))
+    found = filled.join(again, "_doc").select(*line, F.col("s.q").alias("q"), F.col("s.was").alias("was"), now.alias("now"))
+    judged = found.groupBy(*line).agg(
         (
             (F.count_distinct("was", "now") == F.count_distinct("was")) & (F.count_distinct("was", "now") == F.count_distinct("now"))
         ).alias("_sound"),
-        F.bool_and(F.col("was") == F.col("now")).alias("_same_values"),
     )
     yes = F.lit(True)
     if filled.isEmpty():
-        judged_lines = lines.withColumns({"_sound": yes, "_same_values": yes})
+        judged_lines = lines.withColumn("_sound", yes)
     else:
-        on = [lines[c].eqNullSafe(judged[c]) for c in ("_doc", "_item", "_same", "_line")]
-        judged_lines = lines.join(judged, on, "left").select(
-            lines["*"], F.coalesce("_sound", yes).alias("_sound"), F.coalesce("_same_values", yes).alias("_same_values")
-        )
-    used = F.when(F.col("_sound"), F.col("_ats")).otherwise(F.col("_plain"))
+        on = [lines[c].eqNullSafe(judged[c]) for c in line]
+        judged_lines = lines.join(judged, on, "left").select(lines["*"], F.coalesce("_sound", yes).alias("_sound"))
+    used = F.when(F.col("_sound"), F.col("_ats")).otherwise(F.array().cast("array<int>"))
+
+    def reach(ats: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(ats, lambda a: F.sequence(a, a + size - 1))))
+
+    judged_lines = judged_lines.select(*pair, "_words", used.alias("_ats"), reach(F.col("_words")).alias("_same_at"), reach(used).alias("_alike_at"))
     whole = judged_lines.groupBy(*pair).agg(
-        F.array_distinct(F.flatten(F.collect_set(used))).alias("_ats"),
-        F.bool_and(F.col("_same_values") | ~F.col("_sound")).alias("_exact"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.array_union("_words", "_ats"))))).alias("_windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("_same_at")))).alias("_same_words"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.array_union("_same_at", "_alike_at"))))).alias("_covered"),
     )
-    covered = F.array_distinct(F.flatten(F.transform("_ats", lambda a: F.sequence(a, a + size - 1))))
     return (
-        whole.where(F.size("_ats") > 0)
-        .select("_id", "_doc", "_item", (F.size(covered) / F.col("_n")).alias("coverage"), F.size("_ats").cast("long").alias("n_windows"), "_exact")
+        whole.where("_windows > 0")
+        .select("_id", "_doc", "_item", (F.col("_covered") / F.col("_n")).alias("coverage"), F.col("_windows").cast("long").alias("n_windows"), (F.col("_same_words") == F.col("_covered")).alias("_exact"))
         .where(F.col("coverage") >= coverage)
         .select(
             F.col("_id").alias(key),

@@ -301,6 +301,23 @@ def test_leaks_equal_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, benchmark).collect()} == expected
 
 
+def leaking(spark, items, texts):
+    """{(number of the text, number of the item): kind} of what is found."""
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r.doc_id, r.item_id): r.kind for r in decontamination.find_leaks(docs, benchmark).collect()}
+
+
+APPLES = "Yesterday Alice bought 12 apples and gave Bob 3 of them, then Alice ran 5 km home."
+
+
+def test_leaks_whatever_the_case_and_the_line_breaks(spark):
+    wrapped = APPLES.replace(" Alice", "\nAlice").replace(" Bob", "\r\n  Bob")
+    texts = [APPLES, APPLES.lower(), APPLES.upper(), wrapped, wrapped.replace("Alice", "Carol").replace("12", "40"), "Alice\x02 bought \x0112 apples"]
+    found = leaking(spark, [APPLES], texts)
+    assert found == {(0, 0): "exact", (1, 0): "exact", (2, 0): "exact", (3, 0): "exact", (4, 0): "reparameterised"}
+
+
 def test_leaks_of_nothing(spark, empty):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     assert decontamination.find_leaks(empty, benchmark).collect() == []
