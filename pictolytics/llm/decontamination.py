@@ -41,19 +41,20 @@ def _marked(text: Column) -> Column:
     return F.when(has_digits, units).otherwise(t)
 
 
-def _hashes(words: Column, size: int, plain: bool) -> Column:
-    """Position and hash of every window of so many words; ``plain``: of the words themselves."""
+def _hashes(words: Column, size: int, same: int) -> Column:
+    """Position and hash of every window of so many words; ``same`` goes along."""
     last = F.size(words) - size
     return F.transform(
         F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(i.alias("pos"), F.xxhash64(*[F.get(words, i + j) for j in range(size)]).alias("hash"), F.lit(plain).alias("plain")),
+        lambda i: F.struct(i.alias("pos"), F.xxhash64(*[F.get(words, i + j) for j in range(size)]).alias("hash"), F.lit(same).alias("same")),
     )
 
 
-def _windows(df: DataFrame, size: int, *keys: str) -> DataFrame:
-    """keys, position, hash and kind of the windows of the column ``_marked``: of its words, and of its template.
+def _windows(df: DataFrame, size: int, short: list[int], *keys: str) -> DataFrame:
+    """keys, position and hash of the windows of the column ``_marked``: of its words, and of its template.
 
-    A template window with a placeholder equals no window of words, so both kinds share one column.
+    ``_words``: how many words have to be the same, 0 in a template window. ``short``: sizes of which there are
+    windows of words, too. A template window with a placeholder equals no window of words, so both kinds share one column.
     """
     has_marks = F.regexp_like("_marked", F.lit(r"[\x01-\x03]"))
     cut = df.select(
@@ -61,9 +62,10 @@ def _windows(df: DataFrame, size: int, *keys: str) -> DataFrame:
         F.split(F.translate("_marked", "\x01\x02\x03", ""), " ").alias("_w"),
         F.when(has_marks, F.split(F.regexp_replace("_marked", r"([\x01-\x03])[^ ]+", "$1"), " ")).alias("_t"),
     )
-    template = F.coalesce(_hashes(F.col("_t"), size, False), F.array().cast("array<struct<pos:int,hash:bigint,plain:boolean>>"))
-    found = cut.select(*keys, F.explode(F.concat(_hashes(F.col("_w"), size, True), template)).alias("_x"))
-    return found.select(*keys, F.col("_x.pos").alias("_pos"), F.col("_x.hash").alias("_hash"), F.col("_x.plain").alias("_plain"))
+    template = F.coalesce(_hashes(F.col("_t"), size, 0), F.array().cast("array<struct<pos:int,hash:bigint,same:int>>"))
+    words = [_hashes(F.col("_w"), n, n) for n in (size, *short)]
+    found = cut.select(*keys, F.explode(F.concat(*words, template)).alias("_x"))
+    return found.select(*keys, F.col("_x.pos").alias("_pos"), F.col("_x.hash").alias("_hash"), F.col("_x.same").alias("_words"))
 
 
 def _identity(key: str, text: str) -> Column:
@@ -85,8 +87,9 @@ def find_leaks(
     """key, item, ``coverage``, ``n_windows``, ``kind`` (exact or reparameterised) of every leaked item.
 
     An item leaks into a document if windows found there, with consistent placeholders, cover at least
-    ``coverage`` of the item's words. Windows need ``least_literal`` words that are no placeholder. Items
-    shorter than a window, null and empty texts match nothing. Documents are told apart by key and text:
+    ``coverage`` of the item's words. Where placeholders are filled anew, windows need ``least_literal`` words
+    that are none. Items shorter than a window are found as a whole, by their words, wherever these stand.
+    Texts that are null or have no words match nothing. Documents are told apart by key and text:
     repeated rows are reported once, a null key does no harm, and neither do other columns. Repeated items
     are reported each. ``identity`` adds ``_doc``, the digest by which ``without_leaks`` drops documents.
     """
@@ -97,13 +100,16 @@ def find_leaks(
         F.transform(F.sequence("_pos", F.col("_pos") + size - 1), lambda q: F.struct(q.alias("q"), F.get(words, q).alias("was"))),
         lambda s: s["was"].rlike(r"^[\x01-\x03]"),
     )
-    asked = _windows(items, size, "_item", "_same", "_marked")
-    asked = asked.select("_item", "_same", F.size(words).alias("_n"), F.col("_pos").alias("_at"), "_hash", "_plain", slots.alias("_slots"))
-    asked = asked.where(F.col("_plain") | F.size("_slots").between(1, size - least_literal))
+    items = items.where(F.col("_marked") != "").withColumn("_n", F.size(words))
+    short = sorted(r[0] for r in items.where(F.col("_n") < size).select("_n").distinct().collect())  # under ``size`` numbers
+    asked = _windows(items, size, short, "_item", "_same", "_marked", "_n")
+    asked = asked.select("_item", "_same", "_n", F.col("_pos").alias("_at"), "_hash", "_words", slots.alias("_slots"))
+    alike = (F.col("_words") == 0) & F.size("_slots").between(1, size - least_literal)
+    asked = asked.where(alike | (F.col("_words") == F.least("_n", F.lit(size)))).withColumn("_plain", F.col("_words") > 0).drop("_words")
     index = F.broadcast(asked) if asked.count() <= BROADCAST_WINDOWS else asked
 
     texts = docs.select(F.col(key).alias("_id"), _identity(key, text).alias("_doc"), _marked(F.col(text)).alias("_marked"))
-    hits = _windows(texts, size, "_id", "_doc").drop("_plain").join(index, "_hash").drop("_hash")
+    hits = _windows(texts, size, short, "_id", "_doc").drop("_words").join(index, "_hash").drop("_hash")
     hits = hits.withColumn("_line", F.col("_pos") - F.col("_at"))
 
     pair = ["_id", "_doc", "_item", "_same", "_n"]
@@ -134,7 +140,7 @@ def find_leaks(
     used = F.when(F.col("_sound"), F.col("_ats")).otherwise(F.array().cast("array<int>"))
 
     def reach(ats: Column) -> Column:
-        return F.array_distinct(F.flatten(F.transform(ats, lambda a: F.sequence(a, a + size - 1))))
+        return F.array_distinct(F.flatten(F.transform(ats, lambda a: F.sequence(a, a + F.least("_n", F.lit(size)) - 1))))
 
     judged_lines = judged_lines.select(*pair, "_words", used.alias("_ats"), reach(F.col("_words")).alias("_same_at"), reach(used).alias("_alike_at"))
     whole = judged_lines.groupBy(*pair).agg(

@@ -318,6 +318,12 @@ def test_leaks_whatever_the_case_and_the_line_breaks(spark):
     assert found == {(0, 0): "exact", (1, 0): "exact", (2, 0): "exact", (3, 0): "exact", (4, 0): "reparameterised"}
 
 
+def test_leaks_of_number_heavy_and_short_items(spark):
+    items = ["What is 12 + 7 + 35 + 48 + 9?", "Who wrote Emma?", "7", "", "?!", "one two", "1 2 3 4 5 6 7"]
+    texts = [f"Hm. {items[0]}", "so who WROTE\nEmma and when", "there are 7 of us", "What is 13 + 8 + 36 + 49 + 10?", "two one", "", None]
+    assert leaking(spark, items, texts) == {(0, 0): "exact", (0, 2): "exact", (1, 1): "exact", (2, 2): "exact"}
+
+
 def test_leaks_of_nothing(spark, empty):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     assert decontamination.find_leaks(empty, benchmark).collect() == []
