@@ -2,7 +2,7 @@
 
 Numbers, names and units become typed placeholders, windows of the resulting template are joined by
 hash with those of the benchmark, and what stood in the placeholders must be consistent: one value of
-the question goes with one value of the document, and the other way round. Windows of the lower-cased
+the question goes with one value of the document, for names also the other way round. Windows of the lower-cased
 words themselves are joined as well: they find copies in which case or line breaks hide the names.
 """
 
@@ -126,23 +126,42 @@ def find_leaks(
     again = texts.join(filled.select("_doc").distinct(), "_doc", "left_semi").select("_doc", "_marked").distinct()
     now = F.get(F.split("_marked", " "), F.col("_line") + F.col("s.q"))
     found = filled.join(again, "_doc").select(*line, F.col("s.q").alias("q"), F.col("s.was").alias("was"), now.alias("now"))
-    judged = found.groupBy(*line).agg(
-        (
-            (F.count_distinct("was", "now") == F.count_distinct("was")) & (F.count_distinct("was", "now") == F.count_distinct("now"))
-        ).alias("_sound"),
-    )
-    yes = F.lit(True)
+    # Of the values that stand for one value, the most frequent one counts; of equally frequent ones none does.
+    valued = found.groupBy(*line, "was", "now").agg(F.count("*").alias("c"), F.collect_list("q").alias("qs"))
+    valued = valued.groupBy(*line).agg(F.collect_list(F.struct("was", "now", "c", "qs")).alias("v"))
+
+    def is_name(x: Column) -> Column:
+        return x["was"].startswith("\x02")
+
+    def other(x: Column, y: Column) -> Column:
+        of_two = (y["was"] == x["was"]) & (y["now"] != x["now"])
+        for_two = is_name(x) & is_name(y) & (y["was"] != x["was"]) & (y["now"] == x["now"])
+        return (of_two | for_two) & (y["c"] >= x["c"])
+
+    def places(which) -> Column:
+        wrong = F.filter("v", lambda x: which(x) & F.exists("v", lambda y: other(x, y)))
+        return F.flatten(F.transform(wrong, lambda x: x["qs"]))
+
+    judged = valued.select(*line, places(lambda x: ~is_name(x)).alias("_wrong"), places(is_name).alias("_wrong_names"))
+    none = F.array().cast("array<int>")
     if filled.isEmpty():
-        judged_lines = lines.withColumn("_sound", yes)
+        judged_lines = lines.withColumns({"_wrong": none, "_wrong_names": none})
     else:
         on = [lines[c].eqNullSafe(judged[c]) for c in line]
-        judged_lines = lines.join(judged, on, "left").select(lines["*"], F.coalesce("_sound", yes).alias("_sound"))
-    used = F.when(F.col("_sound"), F.col("_ats")).otherwise(F.array().cast("array<int>"))
+        judged_lines = lines.join(judged, on, "left").select(lines["*"], *[F.coalesce(c, none).alias(c) for c in ("_wrong", "_wrong_names")])
+
+    def over(a: Column, places: str) -> Column:
+        return F.exists(places, lambda q: q.between(a, a + size - 1))
+
+    used = F.filter("_ats", lambda a: ~over(a, "_wrong") & ~over(a, "_wrong_names"))
+    denied = F.filter("_ats", lambda a: over(a, "_wrong_names"))
 
     def reach(ats: Column) -> Column:
         return F.array_distinct(F.flatten(F.transform(ats, lambda a: F.sequence(a, a + F.least("_n", F.lit(size)) - 1))))
 
-    judged_lines = judged_lines.select(*pair, "_words", used.alias("_ats"), reach(F.col("_words")).alias("_same_at"), reach(used).alias("_alike_at"))
+    # A name that stands for two speaks against the whole of its windows, a number only against itself.
+    alike_at = F.array_except(reach(used), reach(denied))
+    judged_lines = judged_lines.select(*pair, "_words", used.alias("_ats"), reach(F.col("_words")).alias("_same_at"), alike_at.alias("_alike_at"))
     whole = judged_lines.groupBy(*pair).agg(
         F.size(F.array_distinct(F.flatten(F.collect_set(F.array_union("_words", "_ats"))))).alias("_windows"),
         F.size(F.array_distinct(F.flatten(F.collect_set("_same_at")))).alias("_same_words"),

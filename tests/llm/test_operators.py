@@ -324,6 +324,18 @@ def test_leaks_of_number_heavy_and_short_items(spark):
     assert leaking(spark, items, texts) == {(0, 0): "exact", (0, 2): "exact", (1, 1): "exact", (2, 2): "exact"}
 
 
+def test_leaks_whose_new_values_coincide_or_conflict(spark):
+    once = "A farmer with 12 cows and 3 goats sold some of them at the market for 40 coins and then walked home."
+    twice = f"Each pair costs 12 coins. {once} What do 12 more such goats cost if nobody else sells any goats there?"
+    texts = [
+        APPLES.replace("12", "5").replace("3", "5"),
+        once.replace("12", "5").replace("3", "5").replace("40", "5"),
+        twice.replace("12 coins", "7 coins").replace("12", "8").replace("40", "9"),
+        APPLES.replace("Alice", "Carol").replace("Bob", "Carol").replace("12", "40").replace("3", "8").replace("5", "9"),
+    ]
+    assert leaking(spark, [APPLES, once, twice], texts) == {(i, i): "reparameterised" for i in range(3)} | {(1, 2): "reparameterised", (2, 1): "reparameterised"}
+
+
 def test_leaks_of_nothing(spark, empty):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     assert decontamination.find_leaks(empty, benchmark).collect() == []
