@@ -16,6 +16,8 @@ from pictolytics.llm.common import landed
 WINDOW = 6
 LEAST_LITERAL = 3
 COVERAGE = 0.5
+#: So many item words in a row are a leak, whatever their share of the item.
+RUN = 13
 #: Benchmark windows up to this number are broadcast (24 bytes each, some 12 MB); more are shuffled.
 BROADCAST_WINDOWS = 500_000
 
@@ -82,12 +84,13 @@ def find_leaks(
     size: int = WINDOW,
     least_literal: int = LEAST_LITERAL,
     coverage: float = COVERAGE,
+    run: int = RUN,
     identity: bool = False,
 ) -> DataFrame:
     """key, item, ``coverage``, ``n_windows``, ``kind`` (exact or reparameterised) of every leaked item.
 
     An item leaks into a document if windows found there, with consistent placeholders, cover at least
-    ``coverage`` of the item's words. Where placeholders are filled anew, windows need ``least_literal`` words
+    ``coverage`` of the item's words, or ``run`` of them in a row in one place. Where placeholders are filled anew, windows need ``least_literal`` words
     that are none. Items shorter than a window are found as a whole, by their words, wherever these stand.
     Texts that are null or have no words match nothing. Documents are told apart by key and text:
     repeated rows are reported once, a null key does no harm, and neither do other columns. Repeated items
@@ -162,15 +165,27 @@ def find_leaks(
     # A name that stands for two speaks against the whole of its windows, a number only against itself.
     alike_at = F.array_except(reach(used), reach(denied))
     judged_lines = judged_lines.select(*pair, "_words", used.alias("_ats"), reach(F.col("_words")).alias("_same_at"), alike_at.alias("_alike_at"))
+
+    def longest(places: Column) -> Column:
+        """The most numbers in a row among different ones."""
+        begin = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("n"), F.lit(0).alias("most"))
+
+        def step(state: Column, q: Column) -> Column:
+            n = F.when(q == state["last"] + 1, state["n"] + 1).otherwise(F.lit(1))
+            return F.struct(q.alias("last"), n.alias("n"), F.greatest(state["most"], n).alias("most"))
+
+        return F.aggregate(F.array_sort(places), begin, step)["most"]
+
     whole = judged_lines.groupBy(*pair).agg(
         F.size(F.array_distinct(F.flatten(F.collect_set(F.array_union("_words", "_ats"))))).alias("_windows"),
         F.size(F.array_distinct(F.flatten(F.collect_set("_same_at")))).alias("_same_words"),
         F.size(F.array_distinct(F.flatten(F.collect_set(F.array_union("_same_at", "_alike_at"))))).alias("_covered"),
+        F.max(longest(F.array_union("_same_at", "_alike_at"))).alias("_run"),
     )
     return (
         whole.where("_windows > 0")
-        .select("_id", "_doc", "_item", (F.col("_covered") / F.col("_n")).alias("coverage"), F.col("_windows").cast("long").alias("n_windows"), (F.col("_same_words") == F.col("_covered")).alias("_exact"))
-        .where(F.col("coverage") >= coverage)
+        .select("_id", "_doc", "_item", (F.col("_covered") / F.col("_n")).alias("coverage"), F.col("_windows").cast("long").alias("n_windows"), (F.col("_same_words") == F.col("_covered")).alias("_exact"), "_run")
+        .where((F.col("coverage") >= coverage) | (F.col("_run") >= run))
         .select(
             F.col("_id").alias(key),
             F.col("_item").alias(item),

@@ -336,6 +336,16 @@ def test_leaks_whose_new_values_coincide_or_conflict(spark):
     assert leaking(spark, [APPLES, once, twice], texts) == {(i, i): "reparameterised" for i in range(3)} | {(1, 2): "reparameterised", (2, 1): "reparameterised"}
 
 
+def test_long_runs_of_longer_items_leak(spark):
+    words = [f"w{a}" for a in WORDS[:60]]
+    part = lambda lo, hi: " ".join(words[lo:hi])
+    texts = [f"x {part(20, 33)} y", f"x {part(20, 32)} y", f"{part(0, 12)} z {part(40, 52)}"]
+    assert leaking(spark, [" ".join(words)], texts) == {(0, 0): "exact"}
+    numbered = " ".join(w if i % 5 else str(i + 1) for i, w in enumerate(words))
+    again = " ".join(w if i % 5 else str(i + 300) for i, w in enumerate(words[:14]))
+    assert leaking(spark, [numbered], [again]) == {(0, 0): "reparameterised"}
+
+
 def test_leaks_of_nothing(spark, empty):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     assert decontamination.find_leaks(empty, benchmark).collect() == []
