@@ -1,13 +1,15 @@
-"""Substring dedup by units: lines, and the sentences of lines that hold several.
+"""Substring dedup by units: lines, the sentences of lines that hold several, and chunks of words.
 
 Units are normalised and hashed where the text is read; digests are counted globally, the occurrence
 with the lowest rank stays, and every other one is reported with its original offsets. A passage that
-was set in the middle of a line is found by its sentences.
+was set in the middle of a line is found by its sentences. Chunks end where the words say so, whatever
+lines and sentences do: they find passages in short lines, short sentences or inside a long one.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +22,9 @@ from pictolytics.llm.common import landed
 LINE_WORDS = 6
 SENTENCE_WORDS = 8
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s)[^.!?\n]*)*[.!?]*")
+#: Words of a chunk: at least, at most; a word in CHUNK_ENDS may end one.
+CHUNK_WORDS, CHUNK_MOST, CHUNK_ENDS = 10, 30, 4
+_WORD = re.compile(r"\S+")
 _BATCH = 50_000
 
 
@@ -45,6 +50,31 @@ def units(text: str, line_words: int, sentence_words: int) -> Iterator[tuple[int
         at += len(line) + 1
 
 
+def chunks(text: str) -> Iterator[tuple[int, int, int, bytes]]:
+    """Like ``units``, for runs of words over lines; their line is a number below 0, each its own.
+
+    A chunk ends at a word whose hash says so, so two copies of a passage are cut alike from the first such
+    word that ends a chunk in both. What follows the last end of a text is a chunk if it has enough words.
+    """
+    from xxhash import xxh3_128_digest
+
+    own: list[str] = []
+    start = end = 0
+
+    def chunk() -> tuple[int, int, int, bytes]:
+        return start, end, -1 - start, xxh3_128_digest(b"\0" + " ".join(own).encode("utf-8", "replace"))
+
+    for m in _WORD.finditer(text):
+        start = start if own else m.start()
+        end = m.end()
+        own.append(m[0].lower())
+        if len(own) >= CHUNK_WORDS and (len(own) >= CHUNK_MOST or zlib.crc32(own[-1].encode("utf-8", "replace")) % CHUNK_ENDS == 0):
+            yield chunk()
+            own = []
+    if len(own) >= CHUNK_WORDS:
+        yield chunk()
+
+
 def find_repeats(
     docs: DataFrame,
     key: str = "doc_id",
@@ -56,7 +86,8 @@ def find_repeats(
 
     Occurrences are ranked by key, then offset; the first stays. Units are equal if their words, lower-cased
     and parted by single spaces, are. Lines of fewer than ``line_words`` and sentences of fewer than
-    ``sentence_words`` words are never removed; sentences of a removed line are not reported again. ``key``
+    ``sentence_words`` words are no units; sentences of a removed line are not reported again. Chunks of words
+    go across both and may overlap them, so cut the union of the spans. ``key``
     is an integer; rows with a null key or text have no units. Repeated rows are one document and do not
     remove each other; other columns are left aside; an empty table gives no rows.
     """
@@ -74,7 +105,9 @@ def find_repeats(
         for b in batches:
             for doc, words in zip(b.column(0), b.column(1), strict=True):
                 doc = doc.as_py()
-                rows.extend((doc, *u) for u in units(words.as_py() or "", line_words, sentence_words))
+                words = words.as_py() or ""
+                rows.extend((doc, *u) for u in units(words, line_words, sentence_words))
+                rows.extend((doc, *u) for u in chunks(words))
                 if len(rows) >= _BATCH:
                     yield batch()
                     rows = []
@@ -91,7 +124,9 @@ def find_repeats(
     # The unit of a line starts where the line does; shorter units with that start are its first sentence.
     whole = found.groupBy("_id", "line").agg(F.max(F.when(F.col("start") == F.col("line"), F.col("end"))).alias("until"))
     out = found.join(whole, ["_id", "line"]).where(F.col("until").isNull() | (F.col("start") >= F.col("until")) | ((F.col("start") == F.col("line")) & (F.col("end") == F.col("until"))))
-    return out.select(F.col("_id").alias(key), "start", "end", F.col("kept").alias(f"kept_{key}"), "kept_start", "copies")
+    # A chunk with the span of a line or sentence is the same occurrence.
+    out = out.groupBy("_id", "start", "end").agg(F.min(F.struct("kept", "kept_start", "copies")).alias("x"))
+    return out.select(F.col("_id").alias(key), "start", "end", F.col("x.kept").alias(f"kept_{key}"), "x.kept_start", "x.copies")
 
 
 def without_repeats(docs: DataFrame, repeats: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -409,6 +409,24 @@ def test_repeats_keep_the_first(spark, empty):
     assert repeats.find_repeats(empty).collect() == []
 
 
+def test_repeats_inside_long_sentences_and_in_short_lines(spark):
+    rng = random.Random(11)
+    words = lambda n: [f"{rng.choice(WORDS)}{rng.choice(WORDS)}" for _ in range(n)]
+    passage = words(80)
+    inside = [" ".join([*words(33), *passage, *words(27)]) for _ in range(2)]
+    short = ["\n".join(" ".join(w[i : i + 4]) for i in range(0, len(w), 4)) for w in (words(21) + passage + words(22) for _ in range(2))]
+    rows = list(enumerate([*inside, *short]))
+    found = repeats.find_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3}
+    for d in (1, 2, 3):
+        text, cut = rows[d][1], set()
+        for r in (r for r in found if r.doc_id == d):
+            own = text[r.start : r.end].split()
+            assert rows[r.kept_doc_id][1][r.kept_start :].split()[: len(own)] == own and " ".join(own) in " ".join(passage)
+            cut |= set(own)
+        assert len(cut) >= 0.5 * len(set(passage))
+
+
 # Toxicity
 
 
