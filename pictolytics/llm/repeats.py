@@ -22,8 +22,10 @@ from pictolytics.llm.common import landed
 LINE_WORDS = 6
 SENTENCE_WORDS = 8
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s)[^.!?\n]*)*[.!?]*")
-#: Words of a chunk: at least, at most; a word in CHUNK_ENDS may end one.
-CHUNK_WORDS, CHUNK_MOST, CHUNK_ENDS = 10, 30, 4
+#: A part ends at a word with the least hash among so many on either side, or after so many words.
+PART_NEAR, PART_MOST = 4, 30
+#: Chunks with fewer words are no units.
+CHUNK_WORDS = 10
 _WORD = re.compile(r"\S+")
 _BATCH = 50_000
 
@@ -53,26 +55,28 @@ def units(text: str, line_words: int, sentence_words: int) -> Iterator[tuple[int
 def chunks(text: str) -> Iterator[tuple[int, int, int, bytes]]:
     """Like ``units``, for runs of words over lines; their line is a number below 0, each its own.
 
-    A chunk ends at a word whose hash says so, so two copies of a passage are cut alike from the first such
-    word that ends a chunk in both. What follows the last end of a text is a chunk if it has enough words.
+    A chunk is two neighbouring parts. Where a part ends depends on the words around only, so two copies of a
+    passage are cut alike, but for some words at its ends.
     """
     from xxhash import xxh3_128_digest
 
-    own: list[str] = []
-    start = end = 0
-
-    def chunk() -> tuple[int, int, int, bytes]:
-        return start, end, -1 - start, xxh3_128_digest(b"\0" + " ".join(own).encode("utf-8", "replace"))
-
-    for m in _WORD.finditer(text):
-        start = start if own else m.start()
-        end = m.end()
-        own.append(m[0].lower())
-        if len(own) >= CHUNK_WORDS and (len(own) >= CHUNK_MOST or zlib.crc32(own[-1].encode("utf-8", "replace")) % CHUNK_ENDS == 0):
-            yield chunk()
-            own = []
-    if len(own) >= CHUNK_WORDS:
-        yield chunk()
+    places = [m.span() for m in _WORD.finditer(text)]
+    words = [text[a:b].lower() for a, b in places]
+    raw = [w.encode("utf-8", "replace") for w in words]
+    h = np.array([zlib.crc32(w, zlib.crc32(v)) for v, w in zip([b"", *raw], raw)], np.int64)
+    least = np.ones(len(h), bool)
+    for d in range(1, PART_NEAR + 1):
+        least[d:] &= h[d:] < h[:-d]
+        least[:-d] &= h[:-d] <= h[d:]
+    ends = [0]
+    for e in [*(np.flatnonzero(least) + 1).tolist(), len(words)]:
+        ends.extend(range(ends[-1] + PART_MOST, e, PART_MOST))
+        if e > ends[-1]:
+            ends.append(e)
+    for lo, hi in zip(ends, ends[2:] or ends[1:]):
+        if hi - lo >= CHUNK_WORDS:
+            start = places[lo][0]
+            yield start, places[hi - 1][1], -1 - start, xxh3_128_digest(b"\0" + b" ".join(raw[lo:hi]))
 
 
 def find_repeats(
@@ -116,10 +120,11 @@ def find_repeats(
 
     texts = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text")).where("_id is not null and _text is not null")
     cuts = landed(texts.mapInArrow(cut, ", ".join(f"{n} long" for n in names)), "units")
-    first = F.min(F.struct(F.col("_id").alias("kept"), F.col("start").alias("kept_start")))
+    first = F.min(F.struct(F.col("_id").alias("kept"), F.col("start").alias("kept_start"), F.col("end").alias("kept_end")))
+    # What overlaps the occurrence that stays, in a text that repeats itself, is left alone.
     # Partial counts leave one row per task and digest before the shuffle, however common a unit is.
     groups = cuts.groupBy("d1", "d2").agg(first.alias("f"), F.count("*").alias("copies")).where("copies > 1")
-    found = cuts.join(groups.select("d1", "d2", "f.*", "copies"), ["d1", "d2"]).where("_id <> kept or start <> kept_start")
+    found = cuts.join(groups.select("d1", "d2", "f.*", "copies"), ["d1", "d2"]).where("_id <> kept or start >= kept_end")
     found = landed(found.distinct(), "repeats")
     # The unit of a line starts where the line does; shorter units with that start are its first sentence.
     whole = found.groupBy("_id", "line").agg(F.max(F.when(F.col("start") == F.col("line"), F.col("end"))).alias("until"))
