@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pictolytics.llm import decontamination, embeddings, jaccard, licenses, packing, repeats, secrets, toxicity, urls, warc
+from pictolytics.llm import (
+    decontamination,
+    embeddings,
+    jaccard,
+    licenses,
+    packing,
+    quality,
+    repeats,
+    runs,
+    search,
+    secrets,
+    toxicity,
+    urls,
+    warc,
+)
 from pictolytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +143,59 @@ def op1_url_filters(spark, folder):
     model = urls.fit_urls(pages, "url", urls.label_by_rules(URL_RULES))
     return urls.judge_urls(pages, "url", URL_RULES, model).drop("url")
 
+
+@query
+def op11_ranked_search(spark, folder):
+    return search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+KEEP_FROM = 0.3
+
+
+@query
+def op12_quality(spark, folder):
+    """Labels of a fifth of the documents, by a hash of the id, are never learnt from."""
+    docs = table(spark, folder, "documents")
+
+    def apart(labelled: DataFrame):
+        return F.crc32(labelled["doc_id"].cast("string")) % 5 == 0
+
+    labels = table(spark, folder, "labels")
+    model = quality.fit_quality(docs, labels.where(~apart(labels)).select("doc_id", "quality"))
+    scored = quality.score_quality(docs, model)
+    return scored.select(
+        "doc_id", apart(scored).alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted")
+    )
+
+
+def repeating(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, by a hash of the id, repeat a part of theirs up to the end."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    found = runs.find_runs(table(spark, folder, "documents"), prepare=repeating)
+    longest = F.element_at(F.array_sort("runs", lambda x, y: F.when(
+        F.struct(-x["length"], x["start"], x["period"]) < F.struct(-y["length"], y["start"], y["period"]), -1).otherwise(1)), 1)
+    listed = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    found = found.withColumn("longest", F.when(F.size("runs") > 0, longest))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.*",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 # SHA-1 in base 32: five bits at a time, out of two hexadecimal digits.
 _BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
   (CAST('0x' || substr(s || '0', 1 + (5 * i) // 4, 2) AS INTEGER) >> CAST(3 - (5 * i) % 4 AS INTEGER)) & 31 AS BIGINT), 1)), '')"""
@@ -156,3 +224,51 @@ reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, e
 SELECT d AS doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r) AS component_id
 FROM reach LEFT JOIN n ON n.doc_id = reach.d GROUP BY d
 """
+
+
+# CRC-32 of the decimal id, bit by bit. Runs are islands of places i whose word comes again q words later; only
+# equal words are joined, and every stretch keeps its smallest period.
+ORACLES["op13_periodic_runs"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    xor(list_reduce(list_prepend(4294967295, list_transform(range(length(CAST(doc_id AS VARCHAR))),
+      lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i + 1 AS BIGINT), 1)) AS BIGINT))),
+      lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)),
+        lambda b, k: xor(b >> 1, CASE WHEN b & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) AS h
+  FROM documents
+), e AS (SELECT doc_id, ws, len(ws) AS n, h, h // 10 AS g FROM d),
+f AS (SELECT *, CASE WHEN n > 0 AND h % 10 = 0 THEN g % n ELSE n END AS a FROM e),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM f),
+t AS (SELECT doc_id, i, ws[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS w, n
+  FROM (SELECT doc_id, ws, n, a, p, unnest(range(n)) AS i FROM p)),
+s AS (SELECT x.doc_id, y.i - x.i AS q, x.i, x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS island
+  FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+m AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM s GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM m GROUP BY doc_id, start, length),
+b AS (SELECT doc_id, count(*) AS n_runs, arg_min([start, length, period], [-length, start, period]) AS best,
+  string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM r GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS rest FROM t WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.doc_id = t.doc_id AND t.i >= r.start + r.period AND t.i < r.start + r.length) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS length, best[3] AS period,
+  1000 * best[2] // best[3] AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM d LEFT JOIN b ON b.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+ORACLES["op11_ranked_search"] = r"""
+WITH w AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL),
+n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+a AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+m AS (SELECT doc_id, 100 - 50 + (50 * n * docs) // words AS m FROM n, a),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), df AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, a GROUP BY term, docs),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN df USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
