@@ -222,7 +222,10 @@ def rank_documents(
     out = []
     for block in range(blocks):
         some = asked.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(blocks)) == block).toArrow()
-        ids = some["_id"].combine_chunks()
-        ids = ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks)
+        if not some.num_rows:
+            continue
+        ids = pa.concat_arrays(some["_id"].chunks)
         out.append(_ranked(docs, ids, some["_text"].to_pylist(), kind, item_key, key, text, limit))
+    if not out:
+        return docs.sparkSession.createDataFrame([], f"`{item_key}` {kind}, rank int, `{key}` long, score long")
     return reduce(DataFrame.unionByName, out)
