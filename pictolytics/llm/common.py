@@ -29,3 +29,15 @@ def landed(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def by_place(df: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """The columns named by their place, so that no name of a caller's clashes, and the new names of ``used``."""
+    places = [f"_col{i}" for i in range(len(df.columns))]
+    return df.toDF(*places), [places[df.columns.index(name)] for name in used]
+
+
+def by_name(df: DataFrame, names: list[str], *new: str) -> DataFrame:
+    """The columns of ``by_place`` under their names again, then ``new`` ones, which replace those of their name."""
+    kept = [F.col(f"_col{i}").alias(name) for i, name in enumerate(names) if name not in new]
+    return df.select(*kept, *new)

@@ -1,9 +1,8 @@
 """Secret scans: single patterns, and credentials in several parts linked by an interval join.
 
 A weak part (a user name, a short password, a bare 40-character key, a service address) means little
-alone. It is reported only where complementary parts lie in one scope: the ``REACH`` characters around
-an access identifier. An identifier and a secret confirm each other; an address is reported beside an
-identifier that has its secret.
+alone. It is reported only where a complementary part lies within ``REACH`` characters: identifiers,
+secrets and addresses confirm each other, any two of them.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pictolytics.llm.common import landed
+from pictolytics.llm.common import by_name, by_place, landed
 
 REACH = 200
 
@@ -58,35 +57,26 @@ def _links(docs: DataFrame, text: Column, key: Column, reach: int) -> DataFrame:
     """Key of a text, and its weak parts that complementary ones confirm."""
     weak = {k: spans(text, p, KINDS.index(k)) for k, p in WEAK.items()}
     base = _base(text)
-    parts = docs.select(
-        key.alias("_key"),
-        F.concat(base["access"], weak["identifier"]).alias("_ids"),
-        F.concat(base["assign"], base["hex"], weak["key"]).alias("_keys"),
-        weak["endpoint"].alias("_ends"),
-    ).where((F.size("_ids") > 0) & (F.size("_keys") > 0))
-    parts = landed(parts, "credential-parts")
-
-    def rows(column: str, prefix: str, margin: int) -> DataFrame:
-        """One row per part and bin that its interval, wider by ``margin``, touches."""
-        one = parts.select("_key", F.explode(column).alias("x")).distinct()
+    classes = [F.concat(base["access"], weak["identifier"]), F.concat(base["assign"], base["hex"], weak["key"]), weak["endpoint"]]
+    parts = docs.select(key.alias("_key"), *[c.alias(f"_{i}") for i, c in enumerate(classes)])
+    some = [(F.size(f"_{i}") > 0).cast("int") for i in range(len(classes))]
+    parts = landed(parts.where(some[0] + some[1] + some[2] > 1), "credential-parts")
+
+    def rows(places: tuple[int, ...], prefix: str, margin: int) -> DataFrame:
+        """One row per part of these classes and bin that its interval, wider by ``margin``, touches."""
+        def named(i: int) -> Column:
+            return F.transform(f"_{i}", lambda x: F.struct(F.lit(i).alias("of"), x.alias("x")))
+
+        each = F.concat(*map(named, places))
+        one = parts.select("_key", F.explode(each).alias("e")).select("_key", "e.*").distinct()
         low, high = F.col("x.start") - margin, F.col("x.end") + margin
         bins = F.sequence(F.floor(low / reach), F.floor(high / reach))
-        return one.select("_key", F.col("x").alias(prefix), F.explode(bins).alias("_bin"))
+        return one.select("_key", F.col("of").alias(f"{prefix}_of"), F.col("x").alias(prefix), F.explode(bins).alias("_bin"))
 
     near = (F.col("i.start") - reach < F.col("s.end")) & (F.col("s.start") < F.col("i.end") + reach)
     # A bin of `reach` characters has room for few parts, so its pairs are few.
-    pairs = rows("_ids", "i", reach).join(rows("_keys", "s", 0), ["_key", "_bin"]).where(near)
-    pairs = pairs.select("_key", "i", "s").distinct()
-    owners = pairs.select("_key", "i").distinct()
-    low, high = F.floor((F.col("i.start") - reach) / reach), F.floor((F.col("i.end") + reach) / reach)
-    owners = owners.withColumn("_bin", F.explode(F.sequence(low, high)))
-    ends = owners.join(rows("_ends", "s", 0), ["_key", "_bin"]).where(near)
-    confirmed = (
-        pairs.select("_key", F.col("i").alias("x"))
-        .unionByName(pairs.select("_key", F.col("s").alias("x")))
-        .unionByName(ends.select("_key", F.col("s").alias("x")))
-        .where(F.col("x.kind") >= len(BASE))
-    )
+    pairs = rows((0, 1), "i", reach).join(rows((1, 2), "s", 0), ["_key", "_bin"]).where(near & (F.col("i_of") < F.col("s_of")))
+    confirmed = pairs.select("_key", F.explode(F.array("i", "s")).alias("x")).where(F.col("x.kind") >= len(BASE))
     return confirmed.groupBy("_key").agg(F.collect_set("x").alias("_weak"))
 
 
@@ -95,12 +85,18 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", reach
 
     ``kind`` numbers ``KINDS``. Base spans are always there; weak parts are added where confirmed. A
     null text counts as empty and has none. Rows are told apart by key and text, so repeated rows get the
-    same spans each and a null key does no harm. Other columns pass through, except one named ``spans``.
+    same spans each and a null key does no harm. Other columns pass through, whatever their names, except one
+    named ``spans``, which is replaced. An empty table gives an empty one.
     """
+    placed, (own_key, own_text) = by_place(docs, key, text)
+    return by_name(_scanned(placed, own_key, own_text, reach), docs.columns, "spans")
+
+
+def _scanned(docs: DataFrame, key: str, text: str, reach: int) -> DataFrame:
     whole = F.coalesce(F.col(text), F.lit(""))
     own = F.md5(F.concat_ws(":", F.col(key).cast("string"), whole))
     links = _links(docs, whole, own, reach)
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != "spans"]
+    kept = docs.columns
     base = docs.select(*kept, own.alias("_key"), F.concat(*_base(whole).values()).alias("_base"))
     joined = base.join(links, "_key", "left")
     every = F.concat("_base", F.coalesce("_weak", F.array().cast(_SPANS)))

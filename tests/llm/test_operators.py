@@ -196,7 +196,8 @@ def test_weak_parts_need_each_other(spark):
     found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
     listed = sorted((str(r.doc_id), r.s) for r in found.select("doc_id", secrets.listed(F.col("spans")).alias("s")).collect())
     whole = "identifier:0:9,key:10:20,endpoint:24:44"
-    assert listed == [("1", whole), ("1", whole), ("2", ""), ("3", ""), ("5", "identifier:0:11,assign:12:29"), ("None", "access:12:32")]
+    beside = "key:0:10,endpoint:15:35"  # a secret and an address confirm each other, without an identifier
+    assert listed == [("1", whole), ("1", whole), ("2", beside), ("3", ""), ("5", "identifier:0:11,assign:12:29"), ("None", "access:12:32")]
     marked = found.select("doc_id", secrets.redact(F.col("text"), F.col("spans")).alias("t")).where("doc_id = 5").first().t
     assert marked == "<SECRET> <SECRET>"
 
