@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pictolytics.llm.common import landed
+from pictolytics.llm.common import by_name, by_place, landed
 
 WINDOW = 6
 LEAST_LITERAL = 3
@@ -198,6 +198,12 @@ def find_leaks(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` less the documents that an item of the benchmark leaked into."""
-    leaks = landed(find_leaks(docs, benchmark, key, text, identity=True, **options).select("_doc").distinct(), "leaks")
-    return docs.withColumn("_doc", _identity(key, text)).join(leaks, "_doc", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` less the documents that an item of the benchmark leaked into.
+
+    Null and empty texts stay, and repeated rows stay or go together. Columns keep their names, whatever these are.
+    An empty table on either side drops nothing.
+    """
+    placed, (own_key, own_text) = by_place(docs, key, text)
+    found = find_leaks(placed, benchmark, own_key, own_text, identity=True, **options).select("_doc").distinct()
+    kept = placed.withColumn("_doc", _identity(own_key, own_text)).join(landed(found, "leaks"), "_doc", "left_anti")
+    return by_name(kept, docs.columns)

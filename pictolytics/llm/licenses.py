@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pictolytics.llm.common import ascii_lower, landed
+from pictolytics.llm.common import ascii_lower, by_name, by_place, landed
 
 CONTAINMENT = 0.8
 
@@ -78,13 +78,19 @@ def scan_licenses(
     ``starts`` are word numbers from 0, ``labels`` those of phrases and of templates that a block meets, sorted,
     and ``score`` the largest share of a template's words found in one block, among templates met, 1 for a phrase,
     else 0. A null or empty text has no words and no labels. Rows are scanned one by one, repeated ones too, and a
-    null key does no harm. Other columns pass through; those named like a new column are replaced. ``templates``
-    are arguments of the program; every word of theirs becomes part of the expression.
+    null key does no harm. Other columns pass through, whatever their names; those named like a new column are
+    replaced. An empty table gives an empty one. ``templates`` are arguments of the program; every word of theirs
+    becomes part of the expression.
     """
+    placed, places = by_place(docs, *([key, text] if key in docs.columns else [text]))
+    scanned = _scanned(placed, places[0] if len(places) > 1 else None, places[-1], containment, templates)
+    return by_name(scanned, docs.columns, "n_words", "starts", "base_labels", "labels", "score")
+
+
+def _scanned(docs: DataFrame, key: str | None, text: str, containment: float, templates: dict[str, str] | None) -> DataFrame:
     sets = {n: sorted(set(t.split())) for n, t in (TEMPLATES if templates is None else templates).items()}
     vocabulary = sorted({w for s in sets.values() for w in s})
-    new = ["n_words", "starts", "base_labels", "labels", "score"]
-    kept = [c for c in docs.columns if c not in new]
+    kept = docs.columns
 
     # Corpus counts of template words, over all documents; at most one row per word of the templates.
     common = F.array_intersect(words_of(F.col(text)), _literal(vocabulary))
@@ -113,7 +119,7 @@ def scan_licenses(
     blocks = F.filter(blocks, lambda b: F.arrays_overlap(b, _literal(prefixes)))
     starts = F.array_sort(F.concat(*[F.col(f"_s{i}") for i in names.values()]))
     labels = F.array_compact(F.array(*[F.when(F.size(f"_s{i}") > 0, F.lit(PHRASES[p])) for p, i in names.items()]))
-    own = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.coalesce(F.col(text), F.lit("")))) if key in kept else F.md5(F.coalesce(F.col(text), F.lit("")))
+    own = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.coalesce(F.col(text), F.lit("")))) if key else F.md5(F.coalesce(F.col(text), F.lit("")))
     base = base.select(
         *[F.col(f"`{c}`") for c in kept],
         F.size("_w").cast("long").alias("n_words"),

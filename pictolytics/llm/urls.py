@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pictolytics.llm.common import ascii_lower
+from pictolytics.llm.common import ascii_lower, by_name, by_place
 
 #: Suffixes are counted in so many hash buckets, so their table has a fixed size.
 SUFFIX_BUCKETS = 4096
@@ -136,10 +136,15 @@ def judge_urls(urls: DataFrame, url: str, rules: Sequence[Rule], model: UrlModel
 
     The longest fitting rule decides; a rule fits its host and all subdomains if the path begins with the rule's.
     Elsewhere the model decides. A null URL has empty host and path and is judged by the model like any other.
-    Rows are judged one by one, repeated ones too; columns named like a new one are replaced.
+    Rows are judged one by one, repeated ones too; other columns pass through, whatever their names, but those
+    named like a new one are replaced. An empty table gives an empty one.
     """
-    new = ["host", "path", "rule", "verdict", "p_block"]
-    kept = [F.col(f"`{c}`") for c in urls.columns if c not in new]
+    placed, (own_url,) = by_place(urls, url)
+    return by_name(_judged(placed, own_url, rules, model, threshold), urls.columns, "host", "path", "rule", "verdict", "p_block")
+
+
+def _judged(urls: DataFrame, url: str, rules: Sequence[Rule], model: UrlModel, threshold: float) -> DataFrame:
+    kept = urls.columns
     host, path = parsed(F.col(url))
     split = urls.select(*kept, host.alias("host"), path.alias("path"))
     split = split.withColumn("_ruled", ruled(F.col("host"), F.col("path"), rules))
