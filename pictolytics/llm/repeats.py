@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pictolytics.llm.common import landed
+from pictolytics.llm.common import by_name, by_place, landed
 
 LINE_WORDS = 6
 SENTENCE_WORDS = 8
@@ -95,16 +95,17 @@ def find_repeats(
     is an integer; rows with a null key or text have no units. Repeated rows are one document and do not
     remove each other; other columns are left aside; an empty table gives no rows.
     """
-    names = ["_id", "start", "end", "line", "d1", "d2"]
-    schema = pa.schema([(n, pa.int64()) for n in names])
+    kinds = {"_id": pa.int64(), "start": pa.int32(), "end": pa.int32(), "line": pa.int32(), "d1": pa.int64(), "d2": pa.int32()}
+    schema = pa.schema(list(kinds.items()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
             head = np.array([r[:4] for r in rows], np.int64)
-            digests = np.frombuffer(b"".join(r[4] for r in rows), np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (*head.T, *digests.T)], schema=schema)
+            digests = np.frombuffer(b"".join(r[4] for r in rows), [("d1", np.int64), ("d2", np.int32), ("rest", np.int32)])
+            columns = (*head.T, digests["d1"], digests["d2"])  # 96 bits tell units apart
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(columns, schema.types)], schema=schema)
 
         for b in batches:
             for doc, words in zip(b.column(0), b.column(1), strict=True):
@@ -119,10 +120,13 @@ def find_repeats(
             yield batch()
 
     texts = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text")).where("_id is not null and _text is not null")
-    cuts = landed(texts.mapInArrow(cut, ", ".join(f"{n} long" for n in names)), "units")
+    cuts = landed(texts.mapInArrow(cut, "_id long, start int, end int, line int, d1 long, d2 int"), "units")
+    # Most units occur once. Of these only half of the digest is counted; whole rows are sorted for the others alone.
+    # Partial counts leave one row per task and digest before the shuffle, however common a unit is.
+    often = cuts.groupBy("d1").agg(F.count("*").alias("n")).where("n > 1").select("d1")
+    cuts = landed(cuts.join(often.hint("shuffle_hash"), "d1"), "repeated-units")
     first = F.min(F.struct(F.col("_id").alias("kept"), F.col("start").alias("kept_start"), F.col("end").alias("kept_end")))
     # What overlaps the occurrence that stays, in a text that repeats itself, is left alone.
-    # Partial counts leave one row per task and digest before the shuffle, however common a unit is.
     groups = cuts.groupBy("d1", "d2").agg(first.alias("f"), F.count("*").alias("copies")).where("copies > 1")
     found = cuts.join(groups.select("d1", "d2", "f.*", "copies"), ["d1", "d2"]).where("_id <> kept or start >= kept_end")
     found = landed(found.distinct(), "repeats")
@@ -131,18 +135,26 @@ def find_repeats(
     out = found.join(whole, ["_id", "line"]).where(F.col("until").isNull() | (F.col("start") >= F.col("until")) | ((F.col("start") == F.col("line")) & (F.col("end") == F.col("until"))))
     # A chunk with the span of a line or sentence is the same occurrence.
     out = out.groupBy("_id", "start", "end").agg(F.min(F.struct("kept", "kept_start", "copies")).alias("x"))
-    return out.select(F.col("_id").alias(key), "start", "end", F.col("x.kept").alias(f"kept_{key}"), "x.kept_start", "x.copies")
+    place = {n: F.col(c).cast("long").alias(n) for n, c in (("start", "start"), ("end", "end"), ("kept_start", "x.kept_start"))}
+    return out.select(F.col("_id").alias(key), place["start"], place["end"], F.col("x.kept").alias(f"kept_{key}"), place["kept_start"], "x.copies")
 
 
 def without_repeats(docs: DataFrame, repeats: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the reported spans cut out of the texts."""
-    cuts = repeats.groupBy(F.col(key).alias("_key")).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_cuts"))
+    """``docs`` with the reported spans cut out of the texts.
+
+    Rows without a span, a null key or a null text stay as they are; rows repeated under one key are cut alike. Columns
+    keep their names, whatever these are. An empty table on either side changes nothing.
+    """
+    spans = F.sort_array(F.collect_set(F.struct("start", "end")))
+    cuts = repeats.groupBy(F.col(key).alias("_key")).agg(spans.alias("_cuts"))
+    placed, (own_key, own_text) = by_place(docs, key, text)
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(state, x):
-        piece = F.substring(F.col(text), (state["at"] + 1).cast("int"), F.greatest(x["start"] - state["at"], F.lit(0)).cast("int"))
+        piece = F.substring(F.col(own_text), (state["at"] + 1).cast("int"), F.greatest(x["start"] - state["at"], F.lit(0)).cast("int"))
         return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.concat(state["out"], piece).alias("out"))
 
-    rest = F.aggregate("_cuts", begin, step, lambda s: F.concat(s["out"], F.substring(F.col(text), (s["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-    joined = docs.join(cuts, docs[key] == cuts["_key"], "left")
-    return joined.withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(rest)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = F.aggregate("_cuts", begin, step, lambda s: F.concat(s["out"], F.substring(F.col(own_text), (s["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    joined = placed.join(cuts, placed[own_key] == cuts["_key"], "left")
+    changed = joined.withColumn(own_text, F.when(F.col("_cuts").isNull(), F.col(own_text)).otherwise(rest))
+    return by_name(changed, docs.columns)
