@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pictolytics.functions.patterns import EMOJI_PATTERN, FACE_EMOJI, PRESENTATION_SELECTOR, TONE_PATTERN
 from pictolytics.plans.registry import BASE, FOLLOWERS, PER_SLOT, REGEX, RULES, SPAN_DAYS, STEP_MINUTES
-from pictolytics.sources.derived import AUTHOR_EXPRESSIONS, POST_EXPRESSIONS
+from pictolytics.sources.derived import AUTHOR_EXPRESSIONS, PALETTE, POST_EXPRESSIONS
 from pictolytics.sources.schemas import AUTHOR_COLUMNS, POST_COLUMNS
 
 _SELECTOR = f"chr({ord(PRESENTATION_SELECTOR)})"
@@ -150,6 +150,15 @@ ORACLES: dict[str, str] = {
         "doc_words",
         "talk_words",
     ),
+    "tag_by_rule_table": _sql(
+        rf"""SELECT tweet_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM (SELECT DISTINCT tweet_id, tag FROM posts JOIN (
+                SELECT value, role || ' ' || length(value) AS tag FROM (
+                    SELECT role, unnest(list_transform(range(len(ws) - 1), lambda i: ws[i + 1] || ' ' || ws[i + 2])) AS value
+                    FROM (SELECT role, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS ws FROM conversations))
+                UNION SELECT unnest(string_split('{PALETTE}', ',')), event_type FROM (SELECT DISTINCT event_type FROM events)
+            ) ON contains(text, value)) GROUP BY tweet_id""",
+        "posts",
+    ),
     "contains_any": _sql(
         f"""SELECT tweet_id, lang FROM posts
             WHERE list_has_any(regexp_extract_all(replace(text, {_SELECTOR}, ''), '{EMOJI_PATTERN}'), [{_FACES}])""",

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pictolytics.functions.patterns import FACE_EMOJI
-from pictolytics.functions.text import register_sql_functions
+from pictolytics.functions.text import register_sql_functions, word_tokens
 from pictolytics.operators import authors as A
 from pictolytics.operators import counts as C
+from pictolytics.operators import rule_index
 from pictolytics.operators import tagging as G
 from pictolytics.operators import tokens as T
 from pictolytics.plans import questions as Q
@@ -223,6 +224,20 @@ def tag_by_token_rules(spark, folder):
     return G.tag_by_token_rules(words, rules, "word", key="doc_id")
 
 
+@query
+def tag_by_rule_table(spark, folder):
+    """Posts by literal rules of a table: every two neighbouring words of a conversation, and the emoji of a list."""
+    words = word_tokens(F.col("text"))
+    following = F.slice(words, F.lit(2), F.lit(1 << 30))
+    pairs = F.filter(F.zip_with(words, following, lambda a, b: F.concat(a, F.lit(" "), b)), lambda p: p.isNotNull())
+    spoken = D.table(spark, folder, "conversations").select("role", F.explode(pairs).alias("value"))
+    spoken = spoken.select("value", F.concat_ws(" ", "role", F.length("value")).alias("tag"))
+    listed = D.table(spark, folder, "events").select(F.explode(F.split(F.lit(D.PALETTE), ",")).alias("value"), "event_type").distinct()
+    rules = spoken.unionByName(listed.select("value", F.col("event_type").alias("tag")))
+    tagged = rule_index.tag_by_rule_table(D.posts(spark, folder), rules)
+    return tagged.select("tweet_id", F.array_join("tags", ",").alias("tags"))
+
+
 @query
 def contains_any(spark, folder):
     return G.containing_any(D.posts(spark, folder), FACE_EMOJI).select("tweet_id", "lang")
