@@ -2,13 +2,13 @@
 
 The later models are trained with out-of-fold probabilities of the earlier ones, so that they see
 at training time what they will see at scoring time: predictions for texts the model was not fitted on.
-The models are sparse linear ones over the distinct words of a text and their beginnings. They are fitted with numpy on a
-bounded sample of labelled texts; all documents are scored by Spark, each text where it is read.
+The models are sparse linear ones over the distinct words of a text and their beginnings, hashed to 32 bits where the
+text is read. They are fitted with numpy on a bounded sample of labelled texts; all documents are scored by Spark.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pictolytics.llm.common import landed
+
 # Everything in ASCII that is neither letter nor digit separates words.
 _TO_SPACE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -27,15 +29,26 @@ CUTS = (0.2, 0.6)
 STEMS = (4, 5)
 
 
-def distinct_words(text: str | None) -> set[bytes]:
-    """Distinct lower-cased words of a text and, marked by ``*``, the beginnings of its longer words."""
+#: Texts that are scored at once.
+PORTION = 500
+
+
+def features(text: str | None) -> np.ndarray:
+    """Hashes, in order, of a text's distinct lower-cased words and, marked by ``*``, of the beginnings of the longer ones."""
     words = set((text or "").lower().encode("utf-8", "replace").translate(_TO_SPACE).split())
-    return words.union(*({w[:n] + b"*" for w in words if len(w) > n} for n in STEMS))
+    words = words.union(*({w[:n] + b"*" for w in words if len(w) > n} for n in STEMS))
+    return np.unique(np.fromiter(map(zlib.crc32, words), np.uint32, len(words)))
+
+
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the rows, one after the other, and the row of each."""
+    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    return (np.concatenate(rows) if rows else np.empty(0, np.int64)), at
 
 
 @dataclass
 class Chain:
-    """``weights`` of a word: one number per category; ``given[i]`` weighs the earlier probabilities.
+    """``weights`` of the sorted hashes ``known``: a column per category; ``given[i]`` weighs the earlier probabilities.
 
     ``thresholds``: from which probability on a category is said to hold, chosen on out-of-fold probabilities.
     """
@@ -43,33 +56,27 @@ class Chain:
     categories: tuple[str, ...]
     bias: np.ndarray
     given: np.ndarray
-    weights: dict[bytes, np.ndarray] = field(default_factory=dict)
+    known: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint32))
+    weights: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
     thresholds: dict[str, float] = field(default_factory=dict)
 
-    def probabilities(self, text: str | None) -> np.ndarray:
-        words = distinct_words(text)
-        z = self.bias.copy()
-        for word in sorted(self.weights.keys() & words):  # in one order, so that sums are repeatable
-            z += self.weights[word]
-        p = np.zeros(len(z))
-        for i in range(len(z)):
-            p[i] = 1 / (1 + np.exp(-np.clip(z[i] + self.given[i, :i] @ (p[:i] - 0.5), -35, 35)))
+    def probabilities(self, texts: Sequence[str | None]) -> np.ndarray:
+        """One row per text, one column per category."""
+        found, at = _flat([features(t) for t in texts])
+        place = np.searchsorted(self.known, found)
+        hit = np.flatnonzero(place < len(self.known))
+        hit = hit[self.known[place[hit]] == found[hit]]
+        place, at = place[hit], at[hit]
+        p = np.zeros((len(texts), len(self.categories)))
+        for i in range(len(self.categories)):
+            z = self.bias[i] + (p[:, :i] - 0.5) @ self.given[i, :i]
+            if len(place):
+                z = z + np.bincount(at, self.weights[place, i], minlength=len(texts))
+            p[:, i] = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
         return p
 
 
-class _Rows:
-    """Texts as rows of word numbers, with the probabilities known so far beside them."""
-
-    def __init__(self, numbers: list[np.ndarray]):
-        self.numbers = numbers
-
-    def batch(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        parts = [self.numbers[r] for r in rows]
-        at = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
-        return (np.concatenate(parts) if parts else np.empty(0, np.int64)), at
-
-
-def _sparse_linear(x: _Rows, dense: np.ndarray, y: np.ndarray, rows: np.ndarray, size: int, epochs: int, l1: float):
+def _sparse_linear(x: list[np.ndarray], dense: np.ndarray, y: np.ndarray, rows: np.ndarray, size: int, epochs: int, l1: float):
     """Logistic regression by follow-the-regularised-leader: L1, a step of its own for each word."""
     alpha, beta, l2, step = 0.5, 1.0, 0.1, 64
     total = size + dense.shape[1]
@@ -80,7 +87,7 @@ def _sparse_linear(x: _Rows, dense: np.ndarray, y: np.ndarray, rows: np.ndarray,
     for _ in range(epochs):
         for lo in range(0, len(order), step):
             some = order[lo : lo + step]
-            words, at = x.batch(some)
+            words, at = _flat([x[r] for r in some])
             score = np.bincount(at, w[words], minlength=len(some)) + dense[some] @ w[size:]
             error = 1 / (1 + np.exp(-np.clip(score, -35, 35))) - y[some]
             g = np.zeros(total)
@@ -114,41 +121,53 @@ def fit_chain(
     key: str = "doc_id",
     text: str = "text",
     sample_rows: int = 10_000,
+    sample_features: int = 12_000_000,
     folds: int = 3,
-    vocabulary: int = 1 << 15,
     least_docs: int = 3,
     epochs: int = 6,
     l1: float = 2.0,
 ) -> Chain:
-    """Fit on about ``sample_rows`` labelled documents at most, taken by a hash of the key.
+    """Fit on about ``sample_rows`` labelled documents with ``sample_features`` features in all, whichever is less.
 
-    ``categories`` are 0/1 columns of ``labels``, in the order of the chain. Several labels of one
-    document count as their maximum; a null label leaves the document out of that category's fit; rows
-    with a null key are not labelled. A category with one class in the sample gets that class as its
+    Both bounds hold in expectation: rows are taken by a hash of the key, and fewer of them where texts are long. All
+    features that ``least_docs`` of these have may get a weight; none is cut for being rare among them.
+    ``categories`` are 0/1 columns of ``labels``, in the order of the chain. Several labels of one document count as
+    their maximum; a null label leaves the document out of that category's fit; rows with a null key are not labelled. A category with one class in the sample gets that class as its
     probability, one without any label gets 0.
     """
     names = [f"_y{i}" for i in range(len(categories))]
     counted = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
     counted = counted.agg(*[F.max(F.col(c).cast("double")).alias(n) for c, n in zip(categories, names, strict=True)])
     share = min(1.0, sample_rows / max(1, counted.count()))
-    sample = counted.where(F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+    slots = 1 << 20
+    slot = F.pmod(F.xxhash64("_key"), F.lit(slots))
+    sample = counted.where(slot < F.lit(int(share * slots)))  # sample_rows rows in expectation: the broadcast's bound
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [b" ".join(sorted(distinct_words(t.as_py()))) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary()), *b.columns[2:]], ["_h", "_words", *names])
+            for i in range(b.num_rows):
+                own = features(b.column(1)[i].as_py()).view(np.int32)
+                one = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(own))
+                parts = [b.column(0).slice(i, 1), one, *(c.slice(i, 1) for c in b.columns[2:])]
+                yield pa.RecordBatch.from_arrays(parts, ["_h", "_words", *names])
 
-    # Both the broadcast and the result hold sample_rows rows at most, in expectation.
     read = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key")
     read = read.select(F.xxhash64("_key").alias("_h"), "_text", *names)
     kinds = ", ".join(f"{n} double" for n in names)
-    found = read.mapInArrow(words, f"_h long, _words binary, {kinds}").toArrow().sort_by([("_h", "ascending"), ("_words", "ascending")])
-
-    split = [(w.as_py() or b"").split() for w in found["_words"]]
-    counts = Counter(w for ws in split for w in ws)
-    known = sorted((w for w, c in counts.items() if c >= least_docs), key=lambda w: (-counts[w], w))[:vocabulary]
-    number = {w: i for i, w in enumerate(known)}
-    x = _Rows([np.array([number[w] for w in ws if w in number], np.int64) for ws in split])
+    found = landed(read.mapInArrow(hashed, f"_h long, _words array<int>, {kinds}"), "toxicity")
+    total = found.agg(F.sum(F.size("_words"))).first()[0] or 0
+    share *= min(1.0, sample_features / max(1, total))
+    found = found.where(F.pmod("_h", F.lit(slots)) < F.lit(int(share * slots))).toArrow()
+    found = found.append_column("_n", pa.array([len(w) for w in found["_words"]], pa.int64()))
+    found = found.sort_by([("_h", "ascending"), ("_n", "ascending")])
+
+    split = [w.values.to_numpy().view(np.uint32) for w in found["_words"]]
+    known, counts = np.unique(np.concatenate(split) if split else np.empty(0, np.uint32), return_counts=True)
+    known = known[counts >= least_docs]
+    x = []
+    for words in split:
+        place = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
+        x.append(place[known[place] == words] if len(known) else np.empty(0, np.int64))
     fold = found["_h"].to_numpy() % folds
     dense = np.ones((len(split), 1))
     chain = Chain(tuple(categories), np.zeros(len(categories)), np.zeros((len(categories),) * 2))
@@ -169,12 +188,13 @@ def fit_chain(
                 w = _sparse_linear(x, dense, y, rows[fold[rows] != f], len(known), epochs, l1)
                 out = np.flatnonzero(fold == f)
                 if len(out):
-                    ids, at = x.batch(out)
+                    ids, at = _flat([x[r] for r in out])
                     score = np.bincount(at, w[ids], minlength=len(out)) + dense[out] @ w[len(known) :]
                     held[out] = 1 / (1 + np.exp(-np.clip(score, -35, 35)))
             chain.thresholds[categories[i]] = _threshold(held[rows], y[rows])
         dense = np.column_stack([dense, held - 0.5])
-    chain.weights = {w: weights[j] for j, w in enumerate(known) if weights[j].any()}
+    used = weights.any(axis=1)
+    chain.known, chain.weights = known[used], weights[used]
     return chain
 
 
@@ -186,12 +206,13 @@ def score_chain(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     are replaced. An empty table gives an empty one.
     """
     new = [f"p_{c}" for c in chain.categories]
-    model = chain  # travels with the function; bounded by the vocabulary
+    model = chain  # travels with the function; bounded by the sample
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(b.schema.get_field_index(text))
-            p = np.array([model.probabilities(t.as_py()) for t in texts]).reshape(b.num_rows, len(new))
+            parts = [model.probabilities(texts.slice(lo, PORTION).to_pylist()) for lo in range(0, b.num_rows, PORTION)]
+            p = np.concatenate([np.empty((0, len(new))), *parts])
             keep = [i for i, n in enumerate(b.schema.names) if n not in new]
             arrays = [b.column(i) for i in keep] + [pa.array(p[:, i]) for i in range(len(new))]
             yield pa.RecordBatch.from_arrays(arrays, [b.schema.names[i] for i in keep] + new)
