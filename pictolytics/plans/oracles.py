@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pictolytics.functions.patterns import EMOJI_PATTERN, FACE_EMOJI, PRESENTATION_SELECTOR, TONE_PATTERN
 from pictolytics.plans.registry import BASE, FOLLOWERS, PER_SLOT, REGEX, RULES, SPAN_DAYS, STEP_MINUTES
-from pictolytics.sources.derived import AUTHOR_EXPRESSIONS, PALETTE, POST_EXPRESSIONS
+from pictolytics.sources.derived import _SECOND, AUTHOR_EXPRESSIONS, PALETTE, POST_EXPRESSIONS
 from pictolytics.sources.schemas import AUTHOR_COLUMNS, POST_COLUMNS
 
 _SELECTOR = f"chr({ord(PRESENTATION_SELECTOR)})"
@@ -150,15 +150,20 @@ ORACLES: dict[str, str] = {
         "doc_words",
         "talk_words",
     ),
-    "tag_by_rule_table": _sql(
-        rf"""SELECT tweet_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM (SELECT DISTINCT tweet_id, tag FROM posts JOIN (
-                SELECT value, role || ' ' || length(value) AS tag FROM (
-                    SELECT role, unnest(list_transform(range(len(ws) - 1), lambda i: ws[i + 1] || ' ' || ws[i + 2])) AS value
-                    FROM (SELECT role, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS ws FROM conversations))
-                UNION SELECT unnest(string_split('{PALETTE}', ',')), event_type FROM (SELECT DISTINCT event_type FROM events)
-            ) ON contains(text, value)) GROUP BY tweet_id""",
-        "posts",
-    ),
+    # No emoji is part of a word pair, so pairs are looked for in the documents, with and without what marks a repost.
+    "tag_by_rule_table": rf"""WITH rules AS (
+            SELECT DISTINCT value, 'pair of ' || length(value) AS tag FROM (
+                SELECT unnest(list_transform(range(len(ws) - 1), lambda i: ws[i + 1] || ' ' || ws[i + 2])) AS value
+                FROM (SELECT list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS ws FROM benchmark))),
+        heads AS (SELECT DISTINCT CASE WHEN event_id % 7 = 0 THEN 'RT @x: ' ELSE '' END AS head FROM events),
+        pairs AS (SELECT DISTINCT head, doc_id, tag FROM heads, documents JOIN rules ON contains(head || text || ' ', value)),
+        ends AS (SELECT event_id, {_SECOND} AS e, split_part('{PALETTE}', ',', CAST((event_id * 7 + user_id) % 16 + 1 AS INT)) || ' and ' ||
+            {_SECOND} || CASE WHEN event_id % 3 = 0 THEN {_SECOND} ELSE '' END AS tail FROM events),
+        emoji AS (SELECT unnest(string_split('{PALETTE}', ',')) AS value), types AS (SELECT DISTINCT event_type AS tag FROM events)
+        SELECT tweet_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM (
+            SELECT event_id AS tweet_id, tag FROM events JOIN pairs ON doc_id = event_id % (SELECT count(*) FROM documents)
+                AND head = CASE WHEN event_id % 7 = 0 THEN 'RT @x: ' ELSE '' END
+            UNION SELECT event_id, tag FROM ends JOIN emoji ON contains(tail, value), types) GROUP BY tweet_id""",
     "contains_any": _sql(
         f"""SELECT tweet_id, lang FROM posts
             WHERE list_has_any(regexp_extract_all(replace(text, {_SELECTOR}, ''), '{EMOJI_PATTERN}'), [{_FACES}])""",

@@ -226,14 +226,14 @@ def tag_by_token_rules(spark, folder):
 
 @query
 def tag_by_rule_table(spark, folder):
-    """Posts by literal rules of a table: every two neighbouring words of a conversation, and the emoji of a list."""
+    """Posts by literal rules of a table: every two neighbouring words of the benchmark, and the emoji of a list."""
     words = word_tokens(F.col("text"))
     following = F.slice(words, F.lit(2), F.lit(1 << 30))
     pairs = F.filter(F.zip_with(words, following, lambda a, b: F.concat(a, F.lit(" "), b)), lambda p: p.isNotNull())
-    spoken = D.table(spark, folder, "conversations").select("role", F.explode(pairs).alias("value"))
-    spoken = spoken.select("value", F.concat_ws(" ", "role", F.length("value")).alias("tag"))
+    asked = D.table(spark, folder, "benchmark").select(F.explode(pairs).alias("value"))
+    asked = asked.select("value", F.concat(F.lit("pair of "), F.length("value")).alias("tag"))
     listed = D.table(spark, folder, "events").select(F.explode(F.split(F.lit(D.PALETTE), ",")).alias("value"), "event_type").distinct()
-    rules = spoken.unionByName(listed.select("value", F.col("event_type").alias("tag")))
+    rules = asked.unionByName(listed.select("value", F.col("event_type").alias("tag")))
     tagged = rule_index.tag_by_rule_table(D.posts(spark, folder), rules)
     return tagged.select("tweet_id", F.array_join("tags", ",").alias("tags"))
 
