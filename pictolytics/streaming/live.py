@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pictolytics.functions.patterns import PRESENTATION_SELECTOR
+from pictolytics.functions.text import emoji_tokens, strip_presentation
 from pictolytics.operators.tokens import distinct_emoji, explode_emoji, select_posts
 
 
@@ -54,16 +55,39 @@ def live_windows(posts: DataFrame, width: str = "1 hour", delay: str = "1 hour")
 def live_windows_open(posts: DataFrame, seconds: int = 3600, once: bool = False) -> DataFrame:
     """Occurrences per emoji and window of a fixed length, open windows too, however late a post is.
 
-    Totals for ``run.totals_so_far``. ``once`` removes copies of a post id first.
+    Totals for ``run.totals_so_far``. ``once`` removes copies of a post id first; the text is cut before that.
     """
-    originals = select_posts(posts)
-    if once:
-        named = originals.where(F.col("tweet_id").isNotNull()).dropDuplicates(["tweet_id"])
-        originals = named.unionByName(originals.where(F.col("tweet_id").isNull()))
+    originals = select_posts(posts).where(F.col("time").isNotNull())
     micros = seconds * 1_000_000
-    start = F.timestamp_micros(F.unix_micros("time") - F.pmod(F.unix_micros("time"), F.lit(micros)))
-    tokens = explode_emoji(originals.where(F.col("time").isNotNull()))
-    return tokens.groupBy(start.alias("window_start"), "emoji").agg(F.count(F.lit(1)).alias("n"))
+    start = F.timestamp_micros(F.unix_micros("time") - F.pmod(F.unix_micros("time"), F.lit(micros))).alias("window_start")
+    if once:
+        found = F.transform(emoji_tokens(F.col("text")), strip_presentation).alias("found")
+        narrow = _one_per_id(originals.select("tweet_id", "time", found), None)
+        tokens = narrow.select("time", F.explode_outer("found").alias("emoji")).where(F.col("emoji").isNotNull())
+    else:
+        tokens = explode_emoji(originals)
+    return tokens.groupBy(start, "emoji").agg(F.count(F.lit(1)).alias("n"))
+
+
+def live_winners(posts: DataFrame, width: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """The most used emoji of every closed time window: ``window_start``, ``window_end``, ``emoji``, ``n``.
+
+    Two aggregations in a row under one watermark, in append mode: occurrences per emoji and window, then the best of
+    each window. Of equally frequent emoji the first in order wins. State is a row per open window and emoji.
+    """
+    originals = select_posts(posts).withWatermark("time", delay)
+    counted = explode_emoji(originals).groupBy(F.window("time", width), "emoji").agg(F.count(F.lit(1)).alias("n"))
+    least = F.min(F.struct((-F.col("n")).alias("less"), F.col("emoji"))).alias("best")
+    best = counted.groupBy("window").agg(least)
+    return best.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "best.emoji", (-F.col("best.less")).alias("n")
+    )
+
+
+def cut_once(posts: DataFrame, keep=None) -> DataFrame:
+    """``tweet_id``, ``time`` and the different emoji of each post, for ``run.totals_into``."""
+    found: Column = distinct_emoji(F.col("text"))
+    return posts.select("tweet_id", "time", (found if keep is None else F.filter(found, keep)).alias("found"))
 
 
 def _emoji_once_per_post(posts: DataFrame, delay: str | None, keep=None) -> DataFrame:
@@ -72,19 +96,25 @@ def _emoji_once_per_post(posts: DataFrame, delay: str | None, keep=None) -> Data
     The text is cut before copies are removed: what is shuffled by post id is the id, the time
     and the few different emoji of the post.
     """
-    found: Column = distinct_emoji(F.col("text"))
-    if keep is not None:
-        found = F.filter(found, keep)
     # No filter on the found emoji, nor an explode that implies one: it would be pushed below and cut every
     # text twice.
-    narrow = posts.select("tweet_id", "time", found.alias("found"))
-    if delay is not None:
-        narrow = narrow.withWatermark("time", delay)
-    named, unnamed = narrow.where(F.col("tweet_id").isNotNull()), narrow.where(F.col("tweet_id").isNull())
-    once = named.dropDuplicates(["tweet_id"]) if delay is None else named.dropDuplicatesWithinWatermark(["tweet_id"])
-    tokens = once.unionByName(unnamed).select("tweet_id", F.explode_outer("found").alias("emoji"))
+    once = _one_per_id(cut_once(posts, keep), delay)
+    tokens = once.select("tweet_id", F.explode_outer("found").alias("emoji"))
     return tokens.where(F.col("emoji").isNotNull())
 
 
+def _one_per_id(rows: DataFrame, delay: str | None) -> DataFrame:
+    """One row per ``tweet_id``; rows without one all stay.
+
+    In one branch, so that the source is read once: a row without an id gets a key of its own.
+    """
+    own = F.when(F.col("tweet_id").isNull(), F.uuid()).alias("_own")
+    keyed = rows.select("*", own)
+    key = ["tweet_id", "_own"]
+    if delay is None:
+        return keyed.dropDuplicates(key).drop("_own")
+    return keyed.withWatermark("time", delay).dropDuplicatesWithinWatermark(key).drop("_own")
+
+
 def _totals(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("emoji").agg(F.count(F.lit(1)).alias("total"))
