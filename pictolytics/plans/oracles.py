@@ -210,7 +210,23 @@ ORACLES: dict[str, str] = {
         "authors",
     ),
     "famous_emoji_stream": _sql(_FAMOUS, "once", "authors"),
+    "famous_emoji_sink": _sql(_FAMOUS, "once", "authors"),
     "variant_emoji_stream": _sql(_VARIANTS, "once"),
+    "top_emoji_by_hour_stream": _sql(
+        """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, emoji, n FROM (
+                SELECT date_trunc('hour', time) AS window_start, emoji, count(*) AS n FROM tokens GROUP BY ALL)
+            WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(time) - INTERVAL 1 HOUR FROM posts WHERE NOT starts_with(text, 'RT'))
+            QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY n DESC, emoji) = 1""",
+        "tokens",
+    ),
+    "newest_per_slot_stream": _sql(
+        f"""SELECT slot, CAST(row_number() OVER (PARTITION BY slot {_LATEST}) AS INTEGER) AS position, tweet_id, time FROM (
+                SELECT tweet_id, time, greatest((age + {_STEP - 1}) // {_STEP} - 2, 0) AS slot
+                FROM (SELECT tweet_id, time, {_NOW} - epoch_us(time) AS age FROM posts)
+                WHERE age > 10000000 AND age <= {_LAST * _STEP})
+            QUALIFY position <= {PER_SLOT}""",
+        "posts",
+    ),
     "hourly_emoji_stream": _sql(
         """SELECT date_trunc('hour', time) AS window_start, date_trunc('hour', time) + INTERVAL 1 HOUR AS window_end,
             emoji, count(*) AS n FROM tokens

@@ -13,6 +13,7 @@ from pictolytics.functions.text import register_sql_functions, word_tokens
 from pictolytics.operators import authors as A
 from pictolytics.operators import counts as C
 from pictolytics.operators import rule_index
+from pictolytics.operators import sampling as S
 from pictolytics.operators import tagging as G
 from pictolytics.operators import tokens as T
 from pictolytics.plans import questions as Q
@@ -201,7 +202,7 @@ def posts_with_authors_dealt(spark, folder):
 @query
 def latest_authors(spark, folder):
     """Author snapshots as pages carry them: one per post, with a follower count that moves."""
-    joined = A.with_authors(D.posts(spark, folder).select("tweet_id", "author_id", "time"), D.authors(spark, folder))
+    joined = A.with_authors(D.post_times(spark, folder), D.authors(spark, folder))
     moved = joined.withColumn("followers_count", F.col("followers_count") + F.col("tweet_id"))
     return A.latest_authors(moved.select(*AUTHOR_COLUMNS, F.col("time").alias("page_time")))
 
@@ -220,8 +221,9 @@ def tag_by_token_rules(spark, folder):
     """Documents by the roles that use one of their words in a conversation."""
     spoken = _words(spark, folder, "conversations", per_post=True)
     rules = spoken.select(F.col("word").alias("value"), F.col("role").alias("tag")).distinct()
-    words = _words(spark, folder, "documents", per_post=True)
-    return G.tag_by_token_rules(words, rules, "word", key="doc_id")
+    # The documents lie in one row group: dealt over all tasks before they are cut.
+    documents = D.table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id")
+    return G.tag_by_token_rules(T.explode_words(documents, per_post=True), rules, "word", key="doc_id")
 
 
 @query
@@ -249,14 +251,14 @@ def _now(posts: DataFrame) -> Column:
 
 @query
 def newest_per_slot(spark, folder):
-    posts = D.posts(spark, folder)
+    posts = D.post_times(spark, folder)
     found = Q.historical_sample(posts, _now(posts), STEP_MINUTES, SPAN_DAYS, PER_SLOT)
     return _plain(found, "slot_end", "time")
 
 
 @query
 def newest_before_slot(spark, folder):
-    posts = D.posts(spark, folder)
+    posts = D.post_times(spark, folder)
     found = Q.historical_sample(posts, _now(posts), STEP_MINUTES, SPAN_DAYS, PER_SLOT, bounded=False)
     return _plain(found, "slot_end", "time")
 
@@ -346,6 +348,31 @@ def hourly_emoji_stream(spark, folder):
     return _plain(spark.read.schema(windows.schema).parquet(table), "window_start", "window_end")
 
 
+@query
+def famous_emoji_sink(spark, folder):
+    """The totals of followed authors as a table for other programs, exactly once by batch."""
+    followed = _landed_stream(spark, folder).where(F.col("followers_count") > FOLLOWERS)
+    return run.totals_into(live.cut_once(followed), shared_dir(spark, "famous")).read()
+
+
+@query
+def top_emoji_by_hour_stream(spark, folder):
+    """The winner of every closed hour, by two aggregations in a row."""
+    winners = live.live_winners(D.post_stream(spark, folder), "1 hour", "1 hour")
+    table = shared_dir(spark, "winners")
+    run.append_windows(winners, table, shared_dir(spark, "winners-checkpoint"))
+    return _plain(spark.read.schema(winners.schema).parquet(table), "window_start", "window_end")
+
+
+@query
+def newest_per_slot_stream(spark, folder):
+    """The newest posts of each slot from files in any order; the table holds a few rows per slot."""
+    stream = _landed_stream(spark, folder)
+    slotted = S.assign_slots(stream.select("tweet_id", "time"), _now(D.post_times(spark, folder)), STEP_MINUTES, SPAN_DAYS)
+    table = run.newest_into(slotted.withColumn("tweet_id", F.col("tweet_id").cast("bigint")), shared_dir(spark, "newest"), PER_SLOT)
+    return _plain(S.newest_per_slot(table.read(), PER_SLOT), "time").select("slot", "position", "tweet_id", "time")
+
+
 # The same operators on other tokens
 
 

@@ -52,6 +52,12 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
     return _posts(table(spark, folder, "events"), table(spark, folder, "documents"))
 
 
+def post_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids, authors and times of the posts, which need no document: each post has one."""
+    names = ["tweet_id", "author_id", "time"]
+    return table(spark, folder, "events").selectExpr(*_aliased(POST_EXPRESSIONS, names))
+
+
 def post_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same posts with the events read as a stream and the documents as a static side."""
     schema = table(spark, folder, "events").schema
