@@ -69,7 +69,11 @@ def rule_tags(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """Offer the expressions to ``spark.sql`` as SQL functions, which Catalyst inlines."""
+    """Offer the expressions to ``spark.sql`` as SQL functions, which Catalyst inlines.
+
+    Explode the tokens with ``explode_outer`` and leave out the null ones: a plain explode makes Spark ask for texts
+    with tokens first, and so cut every text again for that.
+    """
     found = f"regexp_extract_all(t, r'{JVM_EMOJI_PATTERN}', 0)"
     definitions = {
         "emoji_tokens(t STRING) RETURNS ARRAY<STRING>": (

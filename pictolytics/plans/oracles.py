@@ -86,6 +86,21 @@ ORACLES: dict[str, str] = {
     "top_emoji_by_day_hour": _sql(_best(_DAY | _HOUR, "emoji", "n", "tokens"), "tokens"),
     "top_emoji_by_date": _sql(_best({"date": "CAST(time AS DATE)"}, "emoji", "n", "tokens"), "tokens"),
     "top_emoji_from_table": _sql(_best({"date": "CAST(time AS DATE)"}, "emoji", "n", "tokens"), "tokens"),
+    "top_emoji_from_cube": _sql("SELECT emoji, count(*) AS usage FROM tokens GROUP BY emoji", "tokens"),
+    "avg_likes_from_cube": _sql(_average("like_count", "average_likes"), "tokens"),
+    "lang_compare_from_cube": _sql(_compare("lang", "es", "en", "emoji", "tokens"), "tokens"),
+    "top_emoji_by_day_hour_from_cube": _sql(_best(_DAY | _HOUR, "emoji", "n", "tokens"), "tokens"),
+    "emoji_rank_changes": _sql(
+        """, c AS (SELECT CAST(time AS DATE) AS date, emoji, count(*) AS n FROM tokens GROUP BY ALL),
+        days AS (SELECT date, row_number() OVER (ORDER BY date) AS day FROM (SELECT DISTINCT date FROM c)),
+        top AS (SELECT date, day, emoji, n, CAST(row_number() OVER (PARTITION BY date ORDER BY n DESC, emoji) AS INTEGER) AS rank
+            FROM c JOIN days USING (date) QUALIFY rank <= 5),
+        pairs AS (SELECT coalesce(t.day, b.day + 1) AS day, coalesce(t.emoji, b.emoji) AS emoji, t.rank, b.rank AS before, t.n
+            FROM top t FULL JOIN top b ON t.emoji = b.emoji AND t.day = b.day + 1)
+        SELECT date, emoji, CASE WHEN rank IS NULL THEN 'leaves' WHEN before IS NULL THEN 'enters' WHEN rank < before THEN 'up'
+            WHEN rank > before THEN 'down' ELSE 'same' END AS change, rank, before, n FROM pairs JOIN days USING (day)""",
+        "tokens",
+    ).replace(") , c AS", "), c AS"),
     "top_emoji_known_authors": _sql(
         f"""SELECT emoji, count(*) AS usage FROM tokens
             WHERE author_id IN (SELECT user_id FROM authors WHERE followers_count <= {FOLLOWERS}) GROUP BY emoji""",
@@ -211,6 +226,13 @@ ORACLES: dict[str, str] = {
     ),
     "famous_emoji_stream": _sql(_FAMOUS, "once", "authors"),
     "famous_emoji_sink": _sql(_FAMOUS, "once", "authors"),
+    "tag_by_rules_stream": _sql(
+        """SELECT tweet_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM (SELECT DISTINCT tweet_id, tag FROM posts
+            JOIN (SELECT * FROM (VALUES {rules}) AS r (value, tag)) ON contains(text, value)) GROUP BY tweet_id""".replace(
+            "{rules}", ", ".join(f"('{value}', '{tag}')" for value, tag in RULES)
+        ),
+        "posts",
+    ),
     "variant_emoji_stream": _sql(_VARIANTS, "once"),
     "top_emoji_by_hour_stream": _sql(
         """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, emoji, n FROM (
@@ -249,6 +271,9 @@ ORACLES: dict[str, str] = {
         "SELECT tweet_id, CAST(2 * length(text) + 1 AS INTEGER) AS n_chars FROM posts", "posts"
     ),
     "words_top": _sql("SELECT word, count(*) AS usage FROM doc_words GROUP BY word", "doc_words"),
+    "top_words_sketched": _sql(
+        "SELECT word, count(*) AS usage FROM doc_words GROUP BY word ORDER BY usage DESC, word LIMIT 100", "doc_words"
+    ),
     "words_lang_compare": _sql(_compare("lang", "es", "en", "word", "doc_words"), "doc_words"),
     "words_role_compare": _sql(_compare("role", "user", "assistant", "word", "talk_words"), "talk_words"),
     "event_type_by_hour": _best(_HOUR, "event_type", "occurrence", "(SELECT event_type, ts AS time FROM events)"),

@@ -55,13 +55,13 @@ def most_used_by_time(tokens: DataFrame, profile: str = "dailyAndHourly", token:
         raise ValueError(f"profile must be one of {list(TIME_PROFILES)}, not {profile!r}")
     grain, name = TIME_PROFILES[profile]
     best = C.winners_by_time(tokens, grain, token, name)
-    return _named_days(best.orderBy(*C.GRAINS[grain], token))
+    return named_days(best.orderBy(*C.GRAINS[grain], token))
 
 
 def most_used_by_every_grain(tokens: DataFrame, token: str = "emoji") -> DataFrame:
     """The first three time profiles in one result and one pass."""
     best = C.winners_of_all_grains(tokens, token)
-    return _named_days(best.orderBy("grain", "day_of_week", "hour", token)).select(
+    return named_days(best.orderBy("grain", "day_of_week", "hour", token)).select(
         "grain", "day_of_week", "hour", token, "n"
     )
 
@@ -137,7 +137,7 @@ def historical_sample(
     return kept.join(ends, "slot").select("slot", "slot_end", "position", "tweet_id", "time")
 
 
-def _named_days(df: DataFrame) -> DataFrame:
+def named_days(df: DataFrame) -> DataFrame:
     if "day_of_week" not in df.columns:
         return df
     return df.withColumn("day_of_week", weekday_name(F.col("day_of_week")))

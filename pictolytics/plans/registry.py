@@ -12,12 +12,15 @@ from pictolytics.functions.patterns import FACE_EMOJI
 from pictolytics.functions.text import register_sql_functions, word_tokens
 from pictolytics.operators import authors as A
 from pictolytics.operators import counts as C
+from pictolytics.operators import history as H
 from pictolytics.operators import rule_index
 from pictolytics.operators import sampling as S
 from pictolytics.operators import tagging as G
 from pictolytics.operators import tokens as T
+from pictolytics.operators.heavy import most_used_sketched
 from pictolytics.plans import questions as Q
 from pictolytics.session import configure, shared_dir
+from pictolytics.sources import cube as B
 from pictolytics.sources import derived as D
 from pictolytics.sources import pages as P
 from pictolytics.sources import records as R
@@ -156,8 +159,8 @@ def sql_functions(spark, folder):
     register_sql_functions(spark)
     D.posts(spark, folder).createOrReplaceTempView("pictolytics_posts")
     return spark.sql(
-        "SELECT base_emoji(e) AS base, emoji_tone(e) AS tone, count(*) AS n FROM (SELECT explode(found) AS e "
-        "FROM (SELECT emoji_tokens(text) AS found FROM pictolytics_posts)) GROUP BY ALL"
+        "SELECT base_emoji(e) AS base, emoji_tone(e) AS tone, count(*) AS n FROM (SELECT explode_outer(found) AS e "
+        "FROM (SELECT emoji_tokens(text) AS found FROM pictolytics_posts)) WHERE e IS NOT NULL GROUP BY ALL"
     )
 
 
@@ -306,6 +309,42 @@ def top_emoji_from_table(spark, folder):
     return Q.most_used_by_time(read_token_table(spark, path), "date")
 
 
+def _cube(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads, each of which touches all dates."""
+    path = shared_dir(spark, "cube")
+    for load in (0, 1):
+        B.add_to_cube(_emoji(spark, folder).where(F.col("tweet_id") % 2 == load), path, f"load{load}")
+    return B.read_cube(spark, path)
+
+
+@query
+def top_emoji_from_cube(spark, folder):
+    return B.usage_from_cube(_cube(spark, folder))
+
+
+@query
+def avg_likes_from_cube(spark, folder):
+    return B.average_from_cube(_cube(spark, folder))
+
+
+@query
+def lang_compare_from_cube(spark, folder):
+    return B.languages_from_cube(_cube(spark, folder), "es", "en")
+
+
+@query
+def top_emoji_by_day_hour_from_cube(spark, folder):
+    counts = B.counts_from_cube(_cube(spark, folder), ["day_of_week", "hour"])
+    return Q.named_days(C.winners(counts, ["day_of_week", "hour"], few_buckets=True))
+
+
+@query
+def emoji_rank_changes(spark, folder):
+    """Entries, exits and moves among the five most used emoji, from date to date."""
+    counts = C.count_by(C.with_buckets(_emoji(spark, folder), ["date"]), ["date", "emoji"])
+    return H.rank_changes(counts, 5)
+
+
 # Streams
 
 
@@ -355,6 +394,15 @@ def famous_emoji_sink(spark, folder):
     return run.totals_into(live.cut_once(followed), shared_dir(spark, "famous")).read()
 
 
+@query
+def tag_by_rules_stream(spark, folder):
+    """Live posts by a rule table that every batch reads anew."""
+    folder_out = shared_dir(spark, "tagged")
+    run.tags_into(_landed_stream(spark, folder), lambda: spark.createDataFrame(RULES, "value string, tag string"), folder_out)
+    tagged = spark.read.schema("tweet_id string, tags array<string>, batch int").parquet(f"{folder_out}/tags")
+    return tagged.select(F.col("tweet_id").cast("bigint").alias("tweet_id"), F.array_join("tags", ",").alias("tags"))
+
+
 @query
 def top_emoji_by_hour_stream(spark, folder):
     """The winner of every closed hour, by two aggregations in a row."""
@@ -381,6 +429,13 @@ def words_top(spark, folder):
     return Q.most_used(_words(spark, folder, "documents"), "word")
 
 
+@query
+def top_words_sketched(spark, folder):
+    """The first hundred words, by a summary and an exact recount."""
+    documents = D.table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id")
+    return most_used_sketched(T.explode_words(documents), 100)
+
+
 @query
 def words_lang_compare(spark, folder):
     return Q.compare_languages(_words(spark, folder, "documents"), "es", "en", "word")
