@@ -66,9 +66,9 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     placed, (key, text, n_chars) = by_place(docs, "doc_id", "text", "n_chars")
     found = secrets.find_secrets(placed, key, text)
-    struck = secrets.redact(F.col(text), F.col("spans"))
-    length = F.when(F.size("spans") > 0, F.char_length(struck)).otherwise(F.col(n_chars)).cast(docs.schema["n_chars"].dataType)
-    return by_name(found.withColumns({text: struck, n_chars: length}), docs.columns)
+    struck = found.withColumn(text, secrets.redact(F.col(text), F.col("spans")))
+    length = F.when(F.size("spans") > 0, F.char_length(text)).otherwise(F.col(n_chars))
+    return by_name(struck.withColumn(n_chars, length.cast(docs.schema["n_chars"].dataType)), docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
