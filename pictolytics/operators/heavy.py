@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pictolytics.session import stored
+
 #: Tokens that a summary holds at first; its memory is in proportion.
 TRACKED = 1 << 14
 #: The most that Spark's function holds.
@@ -24,8 +26,10 @@ def most_used_sketched(tokens: DataFrame, k: int, token: str = "word", name: str
     ranking = [F.desc(name), F.asc("token")]
     asked = tracked
     while asked <= MOST_TRACKED:
-        found, rows = named.agg(F.expr(f"approx_top_k(token, {asked // 2}, {asked})"), F.count(F.lit(1))).first()
-        candidates = tokens.sparkSession.createDataFrame([(r["item"],) for r in found or []], "token string")  # half of ``asked``
+        found = F.expr(f"approx_top_k(token, {asked // 2}, {asked})").alias("found")
+        summary = stored(named.agg(found, F.count(F.lit(1)).alias("rows")), "summary")
+        rows = summary.first()["rows"]
+        candidates = summary.select(F.explode("found").alias("r")).select(F.col("r.item").alias("token"))  # half of ``asked``
         counted = named.join(F.broadcast(candidates), "token").groupBy("token").agg(F.count(F.lit(1)).alias(name))
         best = counted.orderBy(*ranking).limit(k)
         counts, covered = [r[name] for r in best.collect()], counted.agg(F.sum(name)).first()[0] or 0
