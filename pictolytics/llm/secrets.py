@@ -58,9 +58,11 @@ def _links(docs: DataFrame, text: Column, key: Column, reach: int) -> DataFrame:
     weak = {k: spans(text, p, KINDS.index(k)) for k, p in WEAK.items()}
     base = _base(text)
     classes = [F.concat(base["access"], weak["identifier"]), F.concat(base["assign"], base["hex"], weak["key"]), weak["endpoint"]]
-    parts = docs.select(key.alias("_key"), *[c.alias(f"_{i}") for i, c in enumerate(classes)])
-    some = [(F.size(f"_{i}") > 0).cast("int") for i in range(len(classes))]
-    parts = landed(parts.where(some[0] + some[1] + some[2] > 1), "credential-parts")
+    held = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(classes)])
+    two = F.filter(F.array(held), lambda p: sum((F.size(p[f"_{i}"]) > 0).cast("int") for i in range(len(classes))) > 1)
+    # Outer, so that no filter on the parts is made up and pushed below, which would look for all of them twice.
+    parts = docs.select(key.alias("_key"), F.explode_outer(two).alias("p")).where(F.col("p").isNotNull()).select("_key", "p.*")
+    parts = landed(parts, "credential-parts")
 
     def rows(places: tuple[int, ...], prefix: str, margin: int) -> DataFrame:
         """One row per part of these classes and bin that its interval, wider by ``margin``, touches."""
