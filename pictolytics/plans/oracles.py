@@ -218,6 +218,12 @@ ORACLES: dict[str, str] = {
         "posts",
         "authors",
     ),
+    "landing_compacted": _sql(
+        f"""SELECT CAST(tweet_id AS VARCHAR) AS tweet_id, CAST(author_id AS VARCHAR) AS author_id,
+            {", ".join(POST_COLUMNS[2:])}, username FROM posts LEFT JOIN authors ON author_id = user_id""",
+        "posts",
+        "authors",
+    ),
     "pages_authors": _sql(
         f"""SELECT CAST(user_id AS VARCHAR) AS user_id, {", ".join(AUTHOR_COLUMNS[1:])} FROM authors
             WHERE user_id IN (SELECT author_id FROM posts)""",

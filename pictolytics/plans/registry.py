@@ -27,6 +27,7 @@ from pictolytics.sources import records as R
 from pictolytics.sources.schemas import AUTHOR_COLUMNS, POST_COLUMNS
 from pictolytics.sources.token_table import read_token_table, write_token_table
 from pictolytics.streaming import live, run
+from pictolytics.streaming.landing import LandingFolder
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -296,6 +297,22 @@ def record_author_arrays(spark, folder):
     return R.author_arrays(landed).select("tweet_id", *joined)
 
 
+@query
+def landing_compacted(spark, folder):
+    """Records that a stream lands before and after a compaction, some followed and archived, each read once."""
+    records = P.pack_records(D.posts(spark, folder), D.authors(spark, folder)).repartition(FILES, F.xxhash64("data.id"))
+    arrived, home = shared_dir(spark, "arrived"), LandingFolder(spark, shared_dir(spark, "home"))
+    R.write_landing(records, arrived, 1_000_000)
+    parts = R.read_record_stream(spark, arrived, FILES_PER_TRIGGER)
+    first = F.pmod(F.xxhash64("data.id"), F.lit(2)) == 0
+    home.land(parts.where(first), 10_000, "first")
+    run.totals_so_far(home.follow(FILES_PER_TRIGGER).groupBy(F.col("data.lang").alias("lang")).count())
+    home.compact()
+    home.retire(0)
+    home.land(parts.where(~first), 10_000, "second")
+    return _plain(R.flatten_records(home.read()).select(*POST_COLUMNS, "username"), "time")
+
+
 @query
 def pages_authors(spark, folder):
     """Authors of the JSON pages; each is listed on every page that has one of their posts."""
