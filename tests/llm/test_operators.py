@@ -487,3 +487,30 @@ def test_trees_learn_and_empty_tables_pass(spark):
     assert judged.where((F.col("p_block") >= 0.5) == (F.col("bad") == 1)).count() > 290
     none = frame.limit(0)
     assert urls.judge_urls(none, "url", URL_RULES, urls.fit_urls(none, "url", F.lit(None).cast("double"))).collect() == []
+
+
+def test_trees_separate_paths_on_one_host(spark):
+    """Hosts that are all of one label beside one that has both: there the path decides, on URLs not learnt from."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(1500):
+        host = rng.choice(["a.shop.com", "b.shop.com", "news.org", "mixed.net"])
+        bad = {"news.org": 0, "mixed.net": i % 2}.get(host, 1)
+        rows.append((i, f"https://{host}/{rng.choice(['win', 'promo']) if bad else rng.choice(['en', 'docs'])}/{rng.randrange(10**4)}", bad))
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, bad int")
+    label = F.when(F.col("path").rlike("^/(win|promo)/"), 1.0).otherwise(0.0)
+    pages = frame.drop("bad")
+    assert urls.held_out_auc(pages, "url", label, rounds=4, depth=3) > 0.98
+    assert urls.held_out_auc(pages, "url", label, on=F.col("host") == "mixed.net", rounds=4, depth=3) > 0.98
+    assert urls.held_out_auc(pages, "url", label, on=F.col("host") == "news.org", rounds=1, depth=1) == 0.5
+
+
+def test_rates_of_labels_are_out_of_fold(spark):
+    """An ending that occurs once has no evidence of its own in training."""
+    frame = spark.createDataFrame([(f"https://h{i}.x{i}.com/p{i}/1", i % 2) for i in range(200)], "url string, y int")
+    model = urls.fit_urls(frame, "url", F.when(F.col("host").rlike("[13579][.]com$"), 1.0).otherwise(0.0), rounds=1, depth=1)
+    host, path = urls.parsed(F.col("url"))
+    known = frame.select("url", host.alias("host"), path.alias("path"), urls._fold(F.col("url"), 3).alias("_fold"))
+    for out_of_fold, rates in ((True, 1), (False, 2)):
+        seen = urls._featured(urls._lexical(known, F.col("url")), model, out_of_fold).agg(F.countDistinct(F.round("_suffix_block_rate", 9))).first()[0]
+        assert seen == rates
