@@ -2,9 +2,10 @@
 
 A block is a run of words as long as twice the longest template, taken every half of that, so a template's
 text lies whole in some block. A template meets a block if at least ``CONTAINMENT`` of its distinct words are
-there. Template words are ordered by how many documents of the corpus have them, rare ones first; a block
-that meets a template must have one of its rarest words (prefix), enough words (length), and enough words
-left at and after its first match in that order (position). What passes is counted exactly.
+there. Template words are ordered by how many documents of the corpus have them, rare ones first, and a block
+is the set of its template words in that order; others can match nothing. A block that meets a template shares
+one of the template's rarest words with it, by which they are joined (prefix), has enough words (length), and
+both have enough words left from that word on (position). The pairs that pass are counted exactly.
 """
 
 from __future__ import annotations
@@ -97,8 +98,7 @@ def _scanned(docs: DataFrame, key: str | None, text: str, containment: float, te
     counted = docs.select(F.explode(common).alias("w")).groupBy("w").count().collect()
     share = {r["w"]: r["count"] for r in counted}
     order = sorted(vocabulary, key=lambda w: (share.get(w, 0), w))
-    place = {w: i for i, w in enumerate(order)}
-    ranked = {n: sorted(s, key=place.__getitem__) for n, s in sets.items()}
+    ranked = {n: sorted(s, key=order.index) for n, s in sets.items()}
     need = {n: max(1, -int(-containment * len(s) // 1)) for n, s in ranked.items()}
     longest = max(len((TEMPLATES if templates is None else templates)[n].split()) for n in sets)
     prefixes = sorted({w for n, s in ranked.items() for w in s[: len(s) - need[n] + 1]})
@@ -116,7 +116,8 @@ def _scanned(docs: DataFrame, key: str | None, text: str, containment: float, te
     span, step = 2 * longest, longest
     begins = F.sequence(F.lit(0), F.greatest(F.size("_w") - F.lit(span) + F.lit(step) - 1, F.lit(0)), F.lit(step))
     blocks = F.transform(begins, lambda i: F.slice(F.col("_w"), i + 1, F.lit(span)))
-    blocks = F.filter(blocks, lambda b: F.arrays_overlap(b, _literal(prefixes)))
+    blocks = F.transform(blocks, lambda b: F.array_intersect(_literal(order), b))  # in the order of the first one
+    blocks = F.filter(blocks, lambda b: (F.size(b) >= min(need.values())) & F.arrays_overlap(b, _literal(prefixes)))
     starts = F.array_sort(F.concat(*[F.col(f"_s{i}") for i in names.values()]))
     labels = F.array_compact(F.array(*[F.when(F.size(f"_s{i}") > 0, F.lit(PHRASES[p])) for p, i in names.items()]))
     own = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.coalesce(F.col(text), F.lit("")))) if key else F.md5(F.coalesce(F.col(text), F.lit("")))
@@ -128,23 +129,28 @@ def _scanned(docs: DataFrame, key: str | None, text: str, containment: float, te
         own.alias("_own"),
         F.when(may_block, blocks).otherwise(F.array().cast("array<array<string>>")).alias("_blocks"),
     )
-    met = landed(_met(base.where(F.size("_blocks") > 0), ranked, need, place), "license-blocks")
+    filled = base.where(F.size("_blocks") > 0).select("_own", F.explode("_blocks").alias("_block")).distinct()
+    met = landed(_met(_candidates(filled, ranked, need)), "license-blocks")
     joined = base.drop("_blocks").join(met, "_own", "left")
     every = F.array_sort(F.array_distinct(F.concat("base_labels", F.coalesce("_met", F.array().cast("array<string>")))))
     score = F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(F.coalesce("_score", F.lit(0.0)))
     return joined.select(*[F.col(f"`{c}`") for c in kept], "n_words", "starts", "base_labels", every.alias("labels"), score.alias("score"))
 
 
-def _met(candidates: DataFrame, ranked: dict[str, list[str]], need: dict[str, int], place: dict[str, int]) -> DataFrame:
+def _candidates(blocks: DataFrame, ranked: dict[str, list[str]], need: dict[str, int]) -> DataFrame:
+    """Blocks with the templates that they may meet; words of both are in the common order."""
+    prefixes = [(n, w, i, need[n], s) for n, s in ranked.items() for i, w in enumerate(s[: len(s) - need[n] + 1])]
+    # A row per prefix word of the templates, which are arguments of the program: small enough to broadcast.
+    index = blocks.sparkSession.createDataFrame(prefixes, "template string, w string, at int, need int, words array<string>")
+    each = blocks.select("_own", "_block", F.posexplode("_block").alias("pos", "w"))
+    hits = each.join(F.broadcast(index), "w").where(F.size("_block") >= F.col("need"))
+    # Of the first word that both have, this is the most that they can share; a later word is no loss.
+    most = F.least(F.size("words") - F.col("at"), F.size("_block") - F.col("pos"))
+    return hits.where(most >= F.col("need")).select("_own", "_block", "template", "need", "words").distinct()
+
+
+def _met(candidates: DataFrame) -> DataFrame:
     """Templates that some block of a document meets: document, labels, best share."""
-    spark = candidates.sparkSession
-    tokens = [(n, w, i, len(s), need[n]) for n, s in ranked.items() for i, w in enumerate(s)]
-    # A row per word of the templates, which are arguments of the program: small enough to broadcast.
-    index = F.broadcast(spark.createDataFrame(tokens, "template string, w string, at int, size int, need int"))
-    blocks = candidates.select("_own", F.posexplode("_blocks").alias("block", "words")).distinct()
-    blocks = blocks.select("_own", "block", F.size("words").alias("length"), F.explode(F.array_distinct("words")).alias("w"))
-    hits = blocks.join(index, "w").where(F.col("length") >= F.col("need"))
-    whole = hits.groupBy("_own", "block", "template", "size", "need").agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    # Prefix and position: the rarest match stands among the first size - need + 1, with enough words after it.
-    whole = whole.where((F.col("first") <= F.col("size") - F.col("need")) & (F.col("n") >= F.col("need")))
+    shared = F.size(F.array_intersect("_block", "words"))
+    whole = candidates.select("_own", "template", "need", shared.alias("n"), F.size("words").alias("size")).where("n >= need")
     return whole.groupBy("_own").agg(F.collect_set("template").alias("_met"), F.max(F.col("n") / F.col("size")).alias("_score"))

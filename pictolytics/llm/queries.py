@@ -128,6 +128,34 @@ def op3_license_scans(spark, folder):
     )
 
 
+_TEMPLATES = ", ".join(f"('{n}', '{t}')" for n, t in licenses.TEMPLATES.items())
+_STEP = max(len(t.split()) for t in licenses.TEMPLATES.values())
+
+# Every block against every template, by counting common words.
+ORACLES["op3_license_scans"] = rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), t AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, unnest(range(len(w))) AS i FROM d),
+p AS (
+  SELECT doc_id, i, CASE WHEN x = 'mit' AND x1 = 'license' THEN 'mit' WHEN x = 'apache' AND x1 = 'license' THEN 'apache'
+    WHEN x = 'general' AND x1 = 'public' AND x2 = 'license' THEN 'gpl' END AS label
+  FROM (SELECT doc_id, i, x, lead(x) OVER o AS x1, lead(x, 2) OVER o AS x2 FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i))
+), b AS (SELECT doc_id, count(*) AS n_base, min(i) AS lo, max(i) AS hi FROM p WHERE label IS NOT NULL GROUP BY doc_id),
+v AS (SELECT label, unnest(s) AS x, len(s) AS size, ceil(len(s) * {licenses.CONTAINMENT}) AS need
+  FROM (SELECT label, list_distinct(string_split(words, ' ')) AS s FROM (VALUES {_TEMPLATES}) AS y(label, words))),
+k AS (SELECT doc_id, x, unnest([i // {_STEP}, i // {_STEP} - 1]) AS block, greatest(n - {_STEP} - 1, 0) // {_STEP} AS last FROM t),
+m AS (SELECT doc_id, label, count(DISTINCT x) / size AS share FROM k JOIN v USING (x) WHERE block BETWEEN 0 AND last
+  GROUP BY doc_id, block, label, size, need HAVING count(DISTINCT x) >= need),
+s AS (SELECT doc_id, max(share) AS share FROM m GROUP BY doc_id),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels
+  FROM (SELECT doc_id, label, true AS base FROM p WHERE label IS NOT NULL UNION ALL SELECT doc_id, label, false FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, lo AS first_word, hi AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0) END AS score
+FROM d LEFT JOIN b ON b.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN l ON l.doc_id = d.doc_id
+"""
+
+
 URL_RULES = [
     urls.Rule("block", "net", "/"),
     urls.Rule("allow", "example.net", "/en/"),

@@ -230,6 +230,31 @@ def test_licenses_equal_brute_force(spark):
         assert r.labels == sorted(base | met) and 0 <= r.score <= 1 and (r.score > 0) == bool(base | met)
 
 
+def test_license_filters_leave_few_pairs(spark):
+    rng = random.Random(5)
+    ranked = {n: sorted(set(t.split())) for n, t in licenses.TEMPLATES.items()}
+    order = sorted({w for s in ranked.values() for w in s})
+    need = {n: max(1, -int(-licenses.CONTAINMENT * len(s) // 1)) for n, s in ranked.items()}
+    blocks = [sorted(rng.sample(order, rng.randint(1, 30))) for _ in range(300)]
+    blocks += [sorted(rng.sample(s, rng.randint(need[n] - 1, len(s)))) for n, s in ranked.items() for _ in range(5)]
+    rows = spark.createDataFrame([(str(i), b) for i, b in enumerate(blocks)], "_own string, _block array<string>")
+    candidates = licenses._candidates(rows, ranked, need)
+    passed = {(int(r._own), r.template) for r in candidates.collect()}
+    shared = {(i, n): len(set(b) & set(s)) for i, b in enumerate(blocks) for n, s in ranked.items()}
+    met = {pair for pair, n in shared.items() if n >= need[pair[1]]}
+    # The filters by themselves: first common word, and what is left of both from there on.
+    able = set()
+    for i, b in enumerate(blocks):
+        for n, s in ranked.items():
+            common = [w for w in s if w in b]
+            if any(min(len(s) - s.index(w), len(b) - b.index(w)) >= need[n] for w in common):
+                able.add((i, n))
+    assert met <= passed == able
+    by_prefix = {(i, n) for i, b in enumerate(blocks) for n, s in ranked.items() if set(b) & set(s[: len(s) - need[n] + 1])}
+    assert passed < by_prefix < {pair for pair, n in shared.items() if n}
+    assert {(int(r._own), n) for r in licenses._met(candidates).collect() for n in r._met} == met
+
+
 def test_licenses_of_nothing(empty):
     assert licenses.scan_licenses(empty).collect() == []
 
