@@ -1,9 +1,12 @@
 """Near-duplicate vectors by spherical k-means cells.
 
-A vector belongs to the cell of its most similar centroid. It also visits the cells in which a partner could
-lie: two unit vectors with a cosine of t or more are at most sqrt(2 - 2t) apart, so a partner on the far side of
-the border between two centroids can only be met by a vector that is that near to the border. Every link is
-found by that, whatever the centroids are. Cells are compared in blocks of a bounded size.
+All vectors of a label start as one cell; cells with too many rows are divided by k-means, again and again, so the
+number of cells grows with the table. The centroids of a cell are fitted on a bounded sample of it, in a task
+of its own. A vector goes to the part with the most similar centroid. It also visits the parts in which a
+partner could lie: two unit vectors with a cosine of t or more are at most sqrt(2 - 2t) apart, so a partner on the far
+side of the border between two centroids can only be met by a vector that is that near to the border. Every
+link is found by that, whatever the centroids are. A cell that cannot be divided well (most of its vectors lie near
+all borders) stays whole. Cells are compared in blocks of a bounded size, guests only with those at home.
 """
 
 from __future__ import annotations
@@ -20,10 +23,20 @@ from pictolytics.llm.common import landed
 from pictolytics.llm.components import components
 
 COSINE = 0.98
+#: Rows of a block; two blocks are compared at a time.
 BLOCK = 1024
+#: Vectors that the centroids of a cell are fitted on, about, and the most parts of one division.
 SAMPLE = 8192
-CELL_ROWS = 2048
-CELLS = 1024
+PARTS = 256
+#: Rows that a part of a divided cell should have, and rows above which a cell is divided.
+CELL_ROWS = 256
+DIVIDED_ABOVE = 1024
+#: A division must leave at most this share of the comparisons.
+GAIN = 0.6
+#: Rows of a cell that find their parts in one task.
+PIECE = 8192
+#: Divisions in a row; a bit of ``_guest`` each.
+LEVELS = 32
 
 
 def spherical_kmeans(x: np.ndarray, k: int, steps: int = 12, seed: int = 7) -> np.ndarray:
@@ -49,6 +62,117 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _parts(x: np.ndarray, centroids: np.ndarray, chord: float) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centroid of every row, and a matrix of the parts that a row visits.
+
+    Visits go to parts with a smaller number only, so that a pair meets once.
+    """
+    dots = x @ centroids.T
+    own = np.argmax(dots, axis=1)
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * centroids @ centroids.T)) + 1e-7
+    gap = dots[np.arange(len(x)), own][:, None] - dots
+    return own, (gap <= chord * apart[own]) & (np.arange(len(centroids))[None, :] < own[:, None])
+
+
+_CELL = ["_label", "_size", "_cell"]
+
+
+def _divided(placed: DataFrame, level: int, chord: float, sample: int, cell_rows: int, above: int) -> DataFrame | None:
+    """``placed`` with its large cells divided once more, None if none is to be divided."""
+    large = placed.where("not _whole").groupBy(*_CELL).agg(F.count("*").alias("_n")).where(F.col("_n") > above)
+    large = landed(large, "large-cells")
+    if large.isEmpty():
+        return None
+    types = dict(placed.dtypes)
+    cell = ", ".join(f"{c} {types[c]}" for c in _CELL)
+    slots = 1 << 20
+    rows = placed.join(large, _CELL)
+    drawn = rows.where(F.pmod(F.xxhash64("_first", F.lit(level)), F.lit(slots)) < F.ceil(F.lit(sample * slots) / F.col("_n")))
+
+    def fit(t: pa.Table) -> pa.Table:
+        x = _matrix(t["_v"].combine_chunks(), t["_size"][0].as_py())
+        k = max(2, min(PARTS, -(-t["_n"][0].as_py() // cell_rows), len(x) // 4))
+        centroids = spherical_kmeans(x, k) if len(x) > 1 else x
+        own, visits = _parts(x, centroids, chord)
+        home = np.bincount(own, minlength=len(centroids))
+        gains = (home * (home + visits.sum(axis=0))).sum() <= GAIN * len(x) ** 2
+        found = centroids.ravel() if gains else np.empty(0)
+        return t.select(_CELL).slice(0, 1).append_column("_c", pa.array([found], pa.list_(pa.float64())))
+
+    fitted = landed(drawn.select(*_CELL, "_n", "_v").groupBy(*_CELL).applyInArrow(fit, f"{cell}, _c array<double>"), "centroids")
+    pieces = F.ceil(F.col("_n") / PIECE)
+    dealt = rows.withColumn("_piece", F.pmod(F.xxhash64(F.lit("piece"), "_first"), pieces)).drop("_n")
+    copied = fitted.join(large, _CELL).select(*_CELL, "_c", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("_piece"))
+    names = placed.columns
+    schema = placed.schema
+
+    def place(t: pa.Table, c: pa.Table) -> pa.Table:
+        t = t.select(names).combine_chunks()
+        flat = c["_c"].combine_chunks().flatten().to_numpy() if c.num_rows else np.empty(0)
+        if not len(t) or not len(flat):  # stays as it is from now on
+            return t.set_column(names.index("_whole"), "_whole", pa.array(np.ones(len(t), bool)))
+        size = t["_size"][0].as_py()
+        own, visits = _parts(_matrix(t["_v"].combine_chunks(), size), flat.reshape(-1, size), chord)
+        row, part = np.nonzero(visits)
+        row, part = np.r_[np.arange(len(own)), row], np.r_[own, part]
+        guest = t["_guest"].to_numpy()[row] | np.where(np.arange(len(row)) < len(own), 0, 1 << level)
+        out = t.take(pa.array(row))
+        paths = pc.binary_join_element_wise(out["_cell"], pa.array(part).cast(pa.string()), ".")
+        return out.set_column(names.index("_cell"), "_cell", paths).set_column(names.index("_guest"), "_guest", pa.array(guest))
+
+    by = [*_CELL, "_piece"]
+    moved = dealt.groupBy(*by).cogroup(copied.groupBy(*by)).applyInArrow(place, schema)
+    return landed(placed.join(large, _CELL, "left_anti").select(*names).unionByName(moved), "cells")
+
+
+def _compared(placed: DataFrame, cosine: float) -> DataFrame:
+    """Vectors with links in some pair of blocks: how many there, and the smallest vector reachable there."""
+    classes = placed.groupBy(*_CELL, "_guest").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    # At most a row per set of visits: as many as the divisions of a cell allow.
+    classes = classes.groupBy(*_CELL).agg(F.collect_list(F.struct("_guest", "_blocks")).alias("_classes"))
+    dealt = placed.join(classes, _CELL)
+    own = F.filter("_classes", lambda c: c["_guest"] == F.col("_guest"))[0]["_blocks"]
+    dealt = dealt.withColumn("_b", F.struct("_guest", F.pmod(F.xxhash64("_first"), own).cast("int").alias("at")))
+    # Two that were guests of one division have met elsewhere, if at all.
+    others = F.filter("_classes", lambda c: c["_guest"].bitwiseAND(F.col("_guest")) == 0)
+    each = F.transform(others, lambda c: F.transform(F.sequence(F.lit(0), c["_blocks"] - 1), lambda i: F.struct(c["_guest"], i.alias("at"))))
+    dealt = dealt.withColumn("_o", F.explode(F.flatten(each)))
+    dealt = dealt.select(
+        *_CELL, F.least("_b", "_o").alias("_x"), F.greatest("_b", "_o").alias("_y"), (F.col("_b") <= F.col("_o")).alias("_left"), "_first", "_copies", "_v"
+    )
+
+    def compare(t: pa.Table) -> pa.Table:
+        ids, copies = t["_first"].to_numpy(), t["_copies"].to_numpy()
+        x = _matrix(t["_v"].combine_chunks(), t["_size"][0].as_py())
+        if t["_x"][0] == t["_y"][0]:
+            near = x @ x.T >= cosine
+            np.fill_diagonal(near, False)
+            at = np.flatnonzero(near.any(axis=1))
+            near = near[np.ix_(at, at)]
+        else:
+            left = t["_left"].to_numpy()
+            a, b = np.flatnonzero(left), np.flatnonzero(~left)
+            across = x[a] @ x[b].T >= cosine
+            rows, columns = across.any(axis=1), across.any(axis=0)
+            across = across[np.ix_(rows, columns)]
+            at = np.r_[a[rows], b[columns]]
+            near = np.zeros((len(at), len(at)), bool)
+            near[: len(across), len(across) :] = across
+            near[len(across) :, : len(across)] = across.T
+        ids, copies = ids[at], copies[at]
+        links = near @ copies if len(at) else np.empty(0, np.int64)
+        low = ids.copy()
+        while len(at):  # smallest id reachable inside the block
+            new = np.minimum(low, np.where(near, low[None, :], np.iinfo(np.int64).max).min(axis=1))
+            if (new == low).all():
+                break
+            low = new
+        return pa.table({"_first": pa.array(ids), "_links": pa.array(links.astype(np.int64)), "_low": pa.array(low)})
+
+    found = dealt.groupBy(*_CELL, "_x", "_y").applyInArrow(compare, "_first long, _links long, _low long")
+    return landed(found, "vector-links")
+
+
 def near_vectors(
     vectors: DataFrame,
     key: str = "vec_id",
@@ -57,13 +181,14 @@ def near_vectors(
     cosine: float = COSINE,
     sample: int = SAMPLE,
     cell_rows: int = CELL_ROWS,
+    divided_above: int = DIVIDED_ABOVE,
 ) -> DataFrame:
     """key, ``n_links``, ``component_id`` (smallest key reachable by links), ``kept``, one row per vector.
 
     Two vectors link if their labels are equal and not null, their lengths are equal and their cosine in double
     precision is at least ``cosine``. Null, empty and zero vectors and those with null or non-finite components
-    link with nothing. Centroids are fitted on about ``sample`` vectors at most, one for ``cell_rows`` rows, up to
-    ``CELLS`` of them; all vectors are indexed. Rows with a null key are left out; repeated keys count once, with
+    link with nothing. Cells with more than ``divided_above`` rows are divided into parts of about ``cell_rows``; the
+    centroids are fitted on about ``sample`` vectors of the cell, all vectors are indexed. Rows with a null key are left out; repeated keys count once, with
     the largest vector. Other columns are left aside; an empty table gives an empty result.
     """
     read = vectors.select(F.col(key).cast("long").alias("_id"), F.col(label).alias("_label"), F.col(vector).cast("array<double>").alias("_v")).where("_id is not null")
@@ -75,84 +200,28 @@ def near_vectors(
     plain = F.transform("_v", lambda x: x + F.lit(0.0))
     good = read.where("_sound").select("_id", "_label", plain.alias("_v"))
     folded = landed(good.groupBy("_label", "_v").agg(F.min("_id").alias("_first"), F.count("*").alias("_copies")), "distinct-vectors")
-    rows = folded.count()
-    if rows == 0:
-        return read.select(F.col("_id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"), F.lit(True).alias("kept"))
-
-    share = min(1.0, sample / rows)
-    picked = folded.where(F.pmod(F.xxhash64("_first"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).select("_v").toArrow()["_v"]
-    centroids: dict[int, np.ndarray] = {}
-    by_size: dict[int, list] = {}
-    for v in picked.to_pylist():
-        by_size.setdefault(len(v), []).append(v)
-    for size, some in by_size.items():
-        centroids[size] = spherical_kmeans(_unit(np.array(some, np.float64)), max(1, min(CELLS, -(-rows // cell_rows), len(some) // 4)))
     chord = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-9
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
             for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                part = b.take(pa.array(at))
+                part = b.take(pa.array(np.flatnonzero(sizes == size)))
                 x = _unit(_matrix(part.column(2), int(size)))
-                c = centroids.get(int(size))
-                if c is None:
-                    c = np.zeros((1, int(size)))
-                dots = x @ c.T
-                own = np.argmax(dots, axis=1)
-                between = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2) if len(c) <= 256 else None
-                gap = dots[np.arange(len(x)), own][:, None] - dots
-                reach = between[own] if between is not None else np.stack([np.linalg.norm(c - c[o], axis=1) for o in own])
-                # Visits go to cells with a smaller number only, so that a pair meets once.
-                visits = (gap <= chord * reach) & (np.arange(len(c))[None, :] < own[:, None])
-                row, cell = np.nonzero(visits)
-                row, cell = np.r_[np.arange(len(x)), row], np.r_[own, cell]
-                guest = np.r_[np.zeros(len(x), bool), np.ones(len(row) - len(x), bool)]
-                out = part.take(pa.array(row))
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(row) + 1) * size, size), pa.int32()), pa.array(x[row].ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [out.column(0), out.column(1), flat, out.column(3), pa.array(cell.astype(np.int32)), pa.array(np.full(len(row), size, np.int32)), pa.array(guest)],
-                    ["_first", "_label", "_v", "_copies", "_cell", "_size", "_guest"],
-                )
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, size), pa.int32()), pa.array(x.ravel()))
+                n = pa.array(np.full(len(x), size, np.int32))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), flat, part.column(3), n], ["_first", "_label", "_v", "_copies", "_size"])
 
     kind = read.schema["_label"].dataType.simpleString()
-    placed = folded.select("_first", "_label", "_v", "_copies").mapInArrow(
-        cells, f"_first long, _label {kind}, _v array<double>, _copies long, _cell int, _size int, _guest boolean"
-    )
+    placed = folded.select("_first", "_label", "_v", "_copies").mapInArrow(unit, f"_first long, _label {kind}, _v array<double>, _copies long, _size int")
+    placed = placed.withColumns({"_cell": F.lit(""), "_guest": F.lit(0).cast("long"), "_whole": F.lit(False)})
     placed = landed(placed, "cells")
-    group = ["_label", "_size", "_cell"]
-    blocks = placed.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
-    dealt = placed.join(blocks, group).withColumn("_b", F.pmod(F.xxhash64("_first"), F.col("_blocks")).cast("int"))
-    # A block meets itself and every other block of its cell, in a group of two blocks at most.
-    dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    dealt = dealt.withColumns({"_x": F.least("_b", "_o"), "_y": F.greatest("_b", "_o")})
-
-    def compare(t: pa.Table) -> pa.Table:
-        ids, copies = t["_first"].to_numpy(), t["_copies"].to_numpy()
-        x = _matrix(t["_v"].combine_chunks(), t["_size"][0].as_py())
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        block, guest = t["_b"].to_numpy(), t["_guest"].to_numpy(zero_copy_only=False)
-        first, second = t["_x"][0].as_py(), t["_y"][0].as_py()
-        near = x @ x.T >= cosine
-        np.fill_diagonal(near, False)
-        near &= ~(guest[:, None] & guest[None, :])
-        if first != second:
-            near &= block[:, None] != block[None, :]
-        at = np.flatnonzero(near.any(axis=1))
-        near = near[np.ix_(at, at)]
-        ids, copies = ids[at], copies[at]
-        links = near @ copies if len(at) else np.empty(0, np.int64)
-        low = ids.copy()
-        while len(at):  # smallest id reachable inside the block
-            new = np.minimum(low, np.where(near, low[None, :], np.iinfo(np.int64).max).min(axis=1))
-            if (new == low).all():
-                break
-            low = new
-        return pa.table({"_first": pa.array(ids), "_links": pa.array(links.astype(np.int64)), "_low": pa.array(low)})
-
-    compared = dealt.select(*group, "_x", "_y", "_b", "_first", "_copies", "_guest", "_v")
-    found = landed(compared.groupBy(*group, "_x", "_y").applyInArrow(compare, "_first long, _links long, _low long"), "vector-links")
+    for level in range(LEVELS):
+        more = _divided(placed, level, chord, sample, cell_rows, divided_above)
+        if more is None:
+            break
+        placed = more
+    found = _compared(placed, cosine)
     links = found.groupBy("_first").agg(F.sum("_links").alias("_links"))
     member = good.join(folded, ["_label", "_v"]).select("_id", "_first", "_copies")
     member = landed(member.join(links, "_first", "left"), "members")
