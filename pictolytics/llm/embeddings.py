@@ -5,8 +5,8 @@ number of cells grows with the table. The centroids of a cell are fitted on a bo
 of its own. A vector goes to the part with the most similar centroid. It also visits the parts in which a
 partner could lie: two unit vectors with a cosine of t or more are at most sqrt(2 - 2t) apart, so a partner on the far
 side of the border between two centroids can only be met by a vector that is that near to the border. Every
-link is found by that, whatever the centroids are. A cell that cannot be divided well (most of its vectors lie near
-all borders) stays whole. Cells are compared in blocks of a bounded size, guests only with those at home.
+link is found by that, whatever the centroids are. A cell whose division would copy more than it saves (most of its
+vectors lie near all borders) stays whole. Cells are compared in blocks of a bounded size, guests only with those at home.
 """
 
 from __future__ import annotations
@@ -29,10 +29,12 @@ BLOCK = 1024
 SAMPLE = 8192
 PARTS = 256
 #: Rows that a part of a divided cell should have, and rows above which a cell is divided.
-CELL_ROWS = 256
-DIVIDED_ABOVE = 1024
-#: A division must leave at most this share of the comparisons.
-GAIN = 0.6
+CELL_ROWS = 2048
+DIVIDED_ABOVE = 2048
+#: A copy of a vector for a visit costs as much as so many comparisons.
+COPY_COST = 500
+#: A division must leave at most this share of a cell's cost.
+GAIN = 0.7
 #: Rows of a cell that find their parts in one task.
 PIECE = 8192
 #: Divisions in a row; a bit of ``_guest`` each.
@@ -77,7 +79,7 @@ def _parts(x: np.ndarray, centroids: np.ndarray, chord: float) -> tuple[np.ndarr
 _CELL = ["_label", "_size", "_cell"]
 
 
-def _divided(placed: DataFrame, level: int, chord: float, sample: int, cell_rows: int, above: int) -> DataFrame | None:
+def _divided(placed: DataFrame, level: int, chord: float, sample: int, cell_rows: int, above: int, copy_cost: float) -> DataFrame | None:
     """``placed`` with its large cells divided once more, None if none is to be divided."""
     large = placed.where("not _whole").groupBy(*_CELL).agg(F.count("*").alias("_n")).where(F.col("_n") > above)
     large = landed(large, "large-cells")
@@ -95,7 +97,10 @@ def _divided(placed: DataFrame, level: int, chord: float, sample: int, cell_rows
         centroids = spherical_kmeans(x, k) if len(x) > 1 else x
         own, visits = _parts(x, centroids, chord)
         home = np.bincount(own, minlength=len(centroids))
-        gains = (home * (home + visits.sum(axis=0))).sum() <= GAIN * len(x) ** 2
+        guests = visits.sum(axis=0)
+        scale = t["_n"][0].as_py() / len(x)  # of the cell to its sample
+        cost = (home * (home + guests)).sum() * scale**2 + copy_cost * guests.sum() * scale
+        gains = cost <= GAIN * (len(x) * scale) ** 2
         found = centroids.ravel() if gains else np.empty(0)
         return t.select(_CELL).slice(0, 1).append_column("_c", pa.array([found], pa.list_(pa.float64())))
 
@@ -182,13 +187,15 @@ def near_vectors(
     sample: int = SAMPLE,
     cell_rows: int = CELL_ROWS,
     divided_above: int = DIVIDED_ABOVE,
+    copy_cost: float = COPY_COST,
 ) -> DataFrame:
     """key, ``n_links``, ``component_id`` (smallest key reachable by links), ``kept``, one row per vector.
 
     Two vectors link if their labels are equal and not null, their lengths are equal and their cosine in double
     precision is at least ``cosine``. Null, empty and zero vectors and those with null or non-finite components
-    link with nothing. Cells with more than ``divided_above`` rows are divided into parts of about ``cell_rows``; the
-    centroids are fitted on about ``sample`` vectors of the cell, all vectors are indexed. Rows with a null key are left out; repeated keys count once, with
+    link with nothing. Cells with more than ``divided_above`` rows are divided into parts of about ``cell_rows``
+    where that saves comparisons, a visit counted as ``copy_cost`` of them; the centroids are fitted on about ``sample``
+    vectors of the cell, all vectors are indexed. Rows with a null key are left out; repeated keys count once, with
     the largest vector. Other columns are left aside; an empty table gives an empty result.
     """
     read = vectors.select(F.col(key).cast("long").alias("_id"), F.col(label).alias("_label"), F.col(vector).cast("array<double>").alias("_v")).where("_id is not null")
@@ -217,7 +224,7 @@ def near_vectors(
     placed = placed.withColumns({"_cell": F.lit(""), "_guest": F.lit(0).cast("long"), "_whole": F.lit(False)})
     placed = landed(placed, "cells")
     for level in range(LEVELS):
-        more = _divided(placed, level, chord, sample, cell_rows, divided_above)
+        more = _divided(placed, level, chord, sample, cell_rows, divided_above, copy_cost)
         if more is None:
             break
         placed = more

@@ -391,7 +391,7 @@ def test_vectors_equal_brute_force(spark):
     rows += [(300, rows[0][1], 0), (301, [2 * x for x in rows[0][1]], 0), (302, None, 0), (303, [0.0] * 16, 0), (304, [float("nan")] * 16, 0)]
     rows += [(305, [None] * 16, 1), (306, rows[0][1], None), (307, [], 1), (308, [1.0, 2.0], 1), (309, [1.0, 2.0], 1), (310, [1e300] * 16, 2)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("_cell", F.lit(1))
-    found = {r.vec_id: r for r in embeddings.near_vectors(frame, cell_rows=20, divided_above=60).collect()}
+    found = {r.vec_id: r for r in embeddings.near_vectors(frame, cell_rows=20, divided_above=60, copy_cost=0).collect()}
 
     good = [(i, np.array(v), l) for i, v, l in rows if l is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
     links, low = collections.defaultdict(set), {r[0]: r[0] for r in rows}
@@ -422,7 +422,7 @@ def test_cells_divided_again_and_again_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "_divided", lambda *a: results.append(whole(*a)) or results[-1])
     monkeypatch.setattr(embeddings, "BLOCK", 50)
     frame = spark.createDataFrame([(i, v.tolist(), 7) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
-    found = embeddings.near_vectors(frame, sample=200, cell_rows=150, divided_above=60).collect()
+    found = embeddings.near_vectors(frame, sample=200, cell_rows=150, divided_above=60, copy_cost=0).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {i: (near[i].sum(), low[i]) for i in range(len(x))}
     last = [r for r in results if r is not None][-1]
     assert len(results) > 3 and last.where("_cell like '.%.%'").count() > 0 and last.where("_whole").count() > 0
