@@ -155,3 +155,17 @@ def test_texts_of_any_length_return(spark):
     df = spark.createDataFrame(list(texts.items()), "id int, text string")
     sizes = {r.id: r.n for r in df.select("id", F.size(X.emoji_tokens(F.col("text"))).alias("n")).collect()}
     assert sizes == {1: 1, 2: 1, 3: 50_000, 4: 1_000_000}
+
+
+def test_links_of_a_chain_are_not_compared_with_every_range():
+    from pictolytics.functions.patterns import EMOJI_BASE
+
+    spans, whole = JVM_EMOJI_PATTERN.split("|")[-2:]  # of the links
+    assert spans.endswith("]") and whole.startswith(f"[{EMOJI_BASE}]")
+
+
+def test_long_chains_mixed_of_all_spans(spark):
+    units = ["👩", "❤️", "☝🏽", "🤣", "🥰", "🟠", "🪐", "©", "🏴\U000E0067\U000E0062\U000E007F", "👍🏿"]
+    chains = ["‍".join(units[(i * k) % 10] for i in range(3000)) for k in (1, 3, 7)]
+    rows = cut(spark, [f"a {c} b{c}‍" for c in chains], lambda c: F.regexp_extract_all(c, F.lit(JVM_EMOJI_PATTERN), F.lit(0)))
+    assert rows == [[c, c] for c in chains]
