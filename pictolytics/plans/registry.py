@@ -192,15 +192,16 @@ def famous_emoji(spark, folder):
 
 @query
 def posts_with_authors(spark, folder):
-    flagged = T.select_posts(D.posts(spark, folder)).withColumn("is_repost", T.is_repost(F.col("text")))
-    return _plain(A.with_authors(flagged, D.authors(spark, folder)), "time")
+    joined = A.with_authors(D.post_heads(spark, folder), D.authors(spark, folder))
+    flagged = T.select_posts(D.with_texts(joined, spark, folder)).withColumn("is_repost", T.is_repost(F.col("text")))
+    return _plain(flagged.select(*POST_COLUMNS, "is_repost", *AUTHOR_COLUMNS), "time")
 
 
 @query
 def posts_with_authors_dealt(spark, folder):
     """The same join by the way taken for author tables too large to broadcast."""
-    posts = T.select_posts(D.posts(spark, folder))
-    return _plain(A.with_authors_dealt(posts, D.authors(spark, folder)), "time")
+    joined = A.with_authors_dealt(D.post_heads(spark, folder), D.authors(spark, folder))
+    return _plain(T.select_posts(D.with_texts(joined, spark, folder)), "time")
 
 
 @query

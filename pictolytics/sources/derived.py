@@ -52,6 +52,33 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
     return _posts(table(spark, folder, "events"), table(spark, folder, "documents"))
 
 
+def post_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """The posts before they get their text and language: what is joined or dealt by a narrow key moves no text.
+
+    ``_event`` holds what ``with_texts`` needs to give them both.
+    """
+    names = [c for c in POST_COLUMNS if c not in ("lang", "text")]
+    dealt = _dealt(table(spark, folder, "events"), table(spark, folder, "documents"))
+    event = F.struct("doc_id", "event_id", "user_id", "event_type").alias("_event")
+    return dealt.select(*[F.expr(POST_EXPRESSIONS[n]).alias(n) for n in names], event)
+
+
+def with_texts(heads: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """``post_heads``, or rows that these were joined into, as whole posts; further columns follow those of the post.
+
+    The rows come to the texts: a document is moved once, however many posts take it.
+    """
+    further = [c for c in heads.columns if c not in (*POST_COLUMNS, "_event")]
+    kept = [c for c in POST_COLUMNS if c in heads.columns]
+    # Under other names, so that those of the event and the document are free for the expressions.
+    held = heads.select("_event", *[F.col(c).alias(f"_held_{c}") for c in (*kept, *further)])
+    texts = table(spark, folder, "documents").select("doc_id", "text", "lang").hint("merge")
+    found = held.join(texts, F.col("_event.doc_id") == texts["doc_id"])
+    named = found.select("_event.*", "text", "lang", *[f"_held_{c}" for c in (*kept, *further)])
+    whole = [(F.col(f"_held_{n}") if n in kept else F.expr(POST_EXPRESSIONS[n])).alias(n) for n in POST_COLUMNS]
+    return named.select(*whole, *[F.col(f"_held_{n}").alias(n) for n in further])
+
+
 def post_times(spark: SparkSession, folder: str) -> DataFrame:
     """Ids, authors and times of the posts, which need no document: each post has one."""
     names = ["tweet_id", "author_id", "time"]
@@ -69,10 +96,14 @@ def authors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").selectExpr(*_aliased(AUTHOR_EXPRESSIONS, AUTHOR_COLUMNS))
 
 
-def _posts(events: DataFrame, documents: DataFrame) -> DataFrame:
+def _dealt(events: DataFrame, documents: DataFrame) -> DataFrame:
     # Documents are numbered from 0 without gaps, so the remainder deals the events evenly over all.
     n_documents = documents.agg(F.count(F.lit(1))).scalar()
-    dealt = events.withColumn("doc_id", F.col("event_id") % n_documents)
+    return events.withColumn("doc_id", F.col("event_id") % n_documents)
+
+
+def _posts(events: DataFrame, documents: DataFrame) -> DataFrame:
+    dealt = _dealt(events, documents)
     # Both sides grow with the data, so neither is broadcast: the join deals the texts over all tasks.
     texts = documents.select("doc_id", "text", "lang").hint("merge")
     return dealt.join(texts, "doc_id").selectExpr(*_aliased(POST_EXPRESSIONS, POST_COLUMNS))

@@ -112,3 +112,25 @@ def test_rules_and_texts_are_evaluated_once(stored):
     live_plan = plan_of(live.live_variants(stored[0], "🙏"), run=False)
     # The list is cut in one place; the union with posts without an id repeats the branch as a whole.
     assert "regexp_extract_all" not in "".join(x for x in live_plan.splitlines() if x.startswith("Condition"))
+
+
+def test_texts_join_after_the_authors(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    for name in ("posts_with_authors", "posts_with_authors_dealt"):
+        plan = REGISTRY[name](spark, TABLES)._jdf.queryExecution().optimizedPlan().toString()
+        joins = [x for x in plan.splitlines() if "Join Inner" in x]
+        # The join with the documents stands above the one with the authors, so that no text is dealt by author.
+        assert "doc_id" in joins[0] and any("user_id" in x for x in joins[1:]), (name, joins)
+
+
+def test_whole_posts_from_heads(spark):
+    from pictolytics.sources import derived as D
+
+    heads = D.post_heads(spark, TABLES)
+    assert "text" not in heads.columns and "lang" not in heads.columns
+    more = heads.withColumns({"user_id": F.lit(-1), "doc_id": F.lit("x"), "value": F.lit(2)})  # names of the event's columns
+    whole, posts = D.with_texts(more, spark, TABLES), D.posts(spark, TABLES)
+    assert whole.columns == [*posts.columns, "user_id", "doc_id", "value"]
+    plain = whole.select(*posts.columns)
+    assert plain.exceptAll(posts).isEmpty() and posts.exceptAll(plain).isEmpty()
+    assert whole.where("user_id = -1 AND doc_id = 'x' AND value = 2").count() == posts.count()
