@@ -155,3 +155,19 @@ def test_a_rerun_replaces_the_dates_it_writes(spark, make_posts, tmp_path):
     write_token_table(tokens, path)
     write_token_table(tokens.where("tweet_id = 1"), path)
     assert read_token_table(spark, path).count() == 2
+
+
+def test_landed_files_are_packed_and_texts_come_late(spark, make_posts, make_authors, tmp_path):
+    posts = make_posts([{"tweet_id": i, "author_id": i % 3, "text": f"{i} 👍 " + "some words " * 50} for i in range(250)])
+    authors = make_authors({0: 5, 1: 6})
+    texts = posts.select("tweet_id", "text")
+
+    def late(rows):
+        return rows.join(texts, "tweet_id")
+
+    for pack, read in ((P.pack_pages, lambda p: P.flatten_posts(P.read_pages(spark, p))), (P.pack_records, lambda p: R.flatten_records(R.read_records(spark, p)))):
+        plain = R.write_landing(pack(posts, authors).coalesce(1), str(tmp_path / f"plain-{pack.__name__}"))
+        small = R.write_landing(pack(posts.drop("text"), authors, late=late).coalesce(1), str(tmp_path / f"small-{pack.__name__}"), compression="gzip")
+        assert sorted(map(str, read(small).collect())) == sorted(map(str, read(plain).collect()))
+        sizes = [sum(f.stat().st_size for f in (tmp_path / f"{n}-{pack.__name__}").glob("*.json*")) for n in ("plain", "small")]
+        assert sizes[1] * 3 < sizes[0], sizes
