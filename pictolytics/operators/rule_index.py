@@ -29,6 +29,8 @@ BITS_EACH = 16
 MOST_WORDS = 1 << 20
 #: A rule index of more bytes is not held by every task.
 HELD_BYTES = 16 << 20
+#: Of a hash and a rule in that index.
+ROW_BYTES = 40
 #: A word that every text has, for values without any word.
 EVERYWHERE = ""
 
@@ -37,16 +39,15 @@ def _split(text: Column) -> Column:
     return F.split(text, r"\s+", -1)
 
 
-def _pairs(text: Column) -> Column:
-    """Neighbouring words as ``left`` and ``right``; the last word has none on its right."""
-    words = _split(text)
-    following = F.slice(words, F.lit(2), F.lit(1 << 30))  # within a lambda, the text would be split for every word
-    return F.zip_with(words, following, lambda a, b: F.struct(a.alias("left"), b.alias("right")))
+def _cut(posts: DataFrame, text: str, *kept: str) -> DataFrame:
+    """``kept`` and, for each word of the texts, its place ``at``, ``left`` and the right neighbour ``right``, null for the last word.
 
-
-def _hashes(pair: Column) -> Column:
-    """Of a word, and of it with its right neighbour."""
-    return F.array(F.xxhash64(pair["left"]), F.xxhash64(pair["left"], pair["right"]))
+    No lambda takes part, so that Spark compiles all of it into the loop over the words, where a text is no more than
+    a reference. Outer, so that no filter on the words is made up and pushed below, which would cut every text twice.
+    """
+    cut = posts.select(*kept, _split(F.col(text)).alias("_words"))
+    words = cut.select(*kept, "_words", F.posexplode_outer("_words").alias("at", "left"))
+    return words.select(*kept, "at", "left", F.get("_words", F.col("at") + 1).alias("right"))
 
 
 def _grams(word: Column, size: int) -> Column:
@@ -73,18 +74,13 @@ def _bitmap(hashes: DataFrame, n: int) -> tuple[Column, int]:
 
 
 def _possible(posts: DataFrame, text: str, hashes: DataFrame, n: int) -> DataFrame:
-    """``posts`` with ``h``: one row for each hash of their words and word pairs whose bit is set."""
+    """``posts`` with ``h``: a row for each place of a word or word pair whose hash has its bit set."""
     bits, size = _bitmap(hashes, n)
-    everywhere = F.array(F.xxhash64(F.lit(EVERYWHERE)))
-    every = F.concat(F.flatten(F.transform(_pairs(F.col(text)), _hashes)), everywhere)
-    held = posts.withColumns({"_bits": bits, "_every": every})
-
-    def passes(h: Column) -> Column:
-        return F.getbit(F.get("_bits", _place(h, size)), _bit(h)) == 1
-
-    # Outer, so that no filter on the hashes is made up and pushed below, which would cut every text twice.
-    rows = held.withColumn("_some", F.array_distinct(F.filter("_every", passes))).drop("_bits", "_every")
-    return rows.withColumn("h", F.explode_outer("_some")).drop("_some")
+    everywhere = F.when(F.col("at") == 0, F.xxhash64(F.lit(EVERYWHERE)))
+    pair = F.when(F.col("right").isNotNull(), F.xxhash64("left", "right"))
+    own = F.array(F.xxhash64("left"), pair, everywhere)
+    rows = _cut(posts, text, *posts.columns).select(*posts.columns, F.explode(own).alias("h"))
+    return rows.where(F.getbit(F.get(bits, _place(F.col("h"), size)), _bit(F.col("h"))) == 1)
 
 
 def _parts(values: DataFrame) -> DataFrame:
@@ -116,7 +112,7 @@ def _pair_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> D
     ends = [F.least(F.char_length(c), F.lit(size)).alias(n) for c, n in (("part", "a"), ("next", "b"))]
     wanted = wanted.select("*", *ends).withColumn("key", F.xxhash64(F.right("part", F.col("a")), F.left("next", F.col("b"))))
     sizes = [tuple(r) for r in wanted.select("a", "b").distinct().collect()]  # at most the square of ``size``
-    met = posts.select(F.explode(_pairs(F.col(text))).alias("p")).select("p.*").where(F.col("right").isNotNull())
+    met = _cut(posts, text).where(F.col("right").isNotNull())
     # Partial counts leave a row per word pair and task, however common it is.
     met = met.groupBy("left", "right").agg(F.count("*").alias("n"))
     keys = F.array(*[F.xxhash64(F.right("left", F.lit(a)), F.left("right", F.lit(b))) for a, b in sizes] or [F.lit(None).cast("bigint")])
@@ -130,7 +126,8 @@ def _pair_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> D
 def _word_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> DataFrame:
     """The same for single parts and words."""
     wanted = parts.where(~F.contains("kind", F.lit(" "))).select("kind", "part").distinct()
-    words = posts.select(F.explode(F.concat(_split(F.col(text)), F.array(F.lit(EVERYWHERE)))).alias("word"))
+    words = posts.select(F.explode_outer(F.concat(_split(F.col(text)), F.array(F.lit(EVERYWHERE)))).alias("word"))
+    words = words.where(F.col("word").isNotNull())
     vocabulary = stored(words.groupBy("word").agg(F.count("*").alias("n")), "vocabulary")
     length = F.least(F.char_length("part"), F.lit(size))
     kept = ("kind", "part", "word", "n")
@@ -152,14 +149,10 @@ def _word_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> D
     return reduce(DataFrame.unionByName, out).select("kind", "part", F.lit("").alias("next"), F.xxhash64("word").alias("h"), "n")
 
 
-def rule_index(posts: DataFrame, rules: DataFrame, text: str = "text", size: int = SIZE) -> DataFrame:
-    """``h``, ``value`` and ``tags``: hashes of the words, or word pairs, of each value's anchor; written once.
-
-    ``rules`` has columns ``value`` and ``tag``; null values and tags stand for nothing. An index made for some
-    posts holds for these only: a value that has a part without any word there has no row.
-    """
-    values = rules.where(F.col("value").isNotNull() & F.col("tag").isNotNull()).groupBy("value").agg(F.collect_set("tag").alias("tags"))
-    values = stored(values, "rules")
+def _anchored(posts: DataFrame, rules: DataFrame, text: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """``h`` and ``rule``: the hashes of the words, or word pairs, of each value's anchor; ``rule``, ``value`` and ``tags``."""
+    values = rules.where(F.col("value").isNotNull() & F.col("tag").isNotNull()).groupBy("value").agg(F.sort_array(F.collect_set("tag")).alias("tags"))
+    values = stored(values.select(F.monotonically_increasing_id().alias("rule"), "value", "tags"), "rules")
     parts = _parts(values)
     matches = _pair_matches(parts, posts, text, size).unionByName(_word_matches(parts, posts, text, size))
     matches = stored(matches, "rule-words")
@@ -168,7 +161,17 @@ def rule_index(posts: DataFrame, rules: DataFrame, text: str = "text", size: int
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), *part)).alias("x")
     anchors = parts.join(weights, part, "left").groupBy("value").agg(rarest).where(F.col("x.n") > 0).select("value", *[f"x.{c}" for c in part])
     index = matches.join(anchors, part).join(values, "value")
-    return stored(index.select("h", "value", "tags").distinct(), "rule-index")
+    return stored(index.select("h", "rule").distinct(), "rule-index"), values
+
+
+def rule_index(posts: DataFrame, rules: DataFrame, text: str = "text", size: int = SIZE) -> DataFrame:
+    """``h``, ``value`` and ``tags``: hashes of the words, or word pairs, of each value's anchor; written once.
+
+    ``rules`` has columns ``value`` and ``tag``; null values and tags stand for nothing. An index made for some
+    posts holds for these only: a value that has a part without any word there has no row.
+    """
+    index, values = _anchored(posts, rules, text, size)
+    return index.join(values, "rule").select("h", "value", "tags")
 
 
 def tag_by_rule_table(
@@ -183,21 +186,24 @@ def tag_by_rule_table(
     An index of up to ``held_bytes`` goes to where the texts are. A larger one is joined with the hashes alone,
     and the texts with what they may hold, once.
     """
-    index = rule_index(posts, rules, text, size)
+    index, values = _anchored(posts, rules, text, size)
     tags_bytes = F.aggregate("tags", F.lit(0).cast("bigint"), lambda acc, t: acc + F.octet_length(t))
-    held = index.agg(F.sum(F.octet_length("value") + tags_bytes + 64)).first()[0] or 0
+    held = index.count() * ROW_BYTES + (values.agg(F.sum(F.octet_length("value") + tags_bytes + 64)).first()[0] or 0)
     hashes = index.select("h").distinct()
     named = posts.where(F.col(text).isNotNull())
     named = named.select(F.col(key).alias("_key"), F.md5(text).alias("_own"), F.col(text).alias("_text"))
     possible = _possible(named, "_text", hashes, hashes.count())
     if held <= held_bytes:
-        hits = possible.join(F.broadcast(index), "h").where(F.contains("_text", "value")).select("_key", "_own", "tags")
+        met = possible.join(F.broadcast(index), "h").join(F.broadcast(values), "rule")
+        hits = met.where(F.contains("_text", "value")).select("_key", "_own", "tags")
     else:
-        hits = possible.select("_key", "_own", "h").join(index, "h")
+        hits = possible.select("_key", "_own", "h").distinct().join(index, "h").join(values, "rule")
         maybe = hits.groupBy("_key", "_own").agg(F.collect_set(F.struct("value", "tags")).alias("_maybe"))
         maybe = maybe.toDF("_of", "_of_own", "_maybe")
         joined = named.join(maybe, F.col("_key").eqNullSafe(F.col("_of")) & (F.col("_own") == F.col("_of_own")))
         met = F.filter("_maybe", lambda m: F.contains("_text", m["value"]))
-        hits = joined.select("_key", "_own", F.flatten(F.transform(met, lambda m: m["tags"])).alias("tags"))
-    found = hits.groupBy("_key", "_own").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("tags")))).alias("tags"))
-    return found.where(F.size("tags") > 0).select(F.col("_key").alias(key), "tags")
+        hits = joined.select("_key", "_own", F.explode_outer(F.transform(met, lambda m: m["tags"])).alias("tags"))
+    # A post meets the same tags by many values; they are told apart by hash before they are collected.
+    single = hits.distinct().select("_key", "_own", F.explode("tags").alias("tag")).distinct()
+    found = single.groupBy("_key", "_own").agg(F.sort_array(F.collect_list("tag")).alias("tags"))
+    return found.select(F.col("_key").alias(key), "tags")

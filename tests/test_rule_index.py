@@ -94,3 +94,21 @@ def test_texts_stay_where_they_are(spark, posts, rules):
     plan = plan_of(R.tag_by_rule_table(p, r))
     shuffled = [line for line in plan.splitlines() if "hashpartitioning" in line]
     assert shuffled and not any("_text" in line for line in shuffled) and "SortMergeJoin" not in plan
+
+
+def test_words_are_hashed_by_compiled_code(spark, posts, rules):
+    p = spark.createDataFrame(posts, "tweet_id long, text string")
+    r = spark.createDataFrame(rules, "value string, tag string")
+    for held in (R.HELD_BYTES, 0):
+        lines = plan_of(R.tag_by_rule_table(p, r, held_bytes=held), run=False).splitlines()
+        hashed = [line for line in lines if "xxhash64" in line]
+        assert hashed and not any("lambda" in line for line in hashed)
+
+
+def test_a_rule_with_many_words_is_held_once(spark):
+    posts = [(i, f"needle{i} in stack{i % 3}") for i in range(300)]
+    rules = [("eedle", "long " * 400), ("in st", "pair"), ("stack2", "last")]
+    p, r = spark.createDataFrame(posts, "tweet_id long, text string"), spark.createDataFrame(rules, "value string, tag string")
+    tagged = R.tag_by_rule_table(p, r, held_bytes=40_000)  # 300 hashes of the first rule, its text once
+    assert found(tagged) == brute(posts, rules)
+    assert "_maybe" not in plan_of(tagged, run=False)
