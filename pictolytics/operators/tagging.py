@@ -25,12 +25,15 @@ def tag_by_token_rules(tokens: DataFrame, rules: DataFrame, token: str, key: str
     broadcast, both sides of the join come straight from a shuffle, which lets adaptive execution
     split the partition of a token that a third of all posts contain. Give tokens that are distinct
     per post; copies cost time but do not change the result.
+
+    Copies of rules, and tags that a post meets again, are told apart by hash before any are collected: ``collect_set``
+    sorts all rows once a task has more than a few groups.
     """
-    values = rules.groupBy("value").agg(F.collect_set("tag").alias("tags"))
+    pairs = rules.select("value", "tag").distinct()
+    values = pairs.groupBy("value").agg(F.sort_array(F.collect_list("tag")).alias("tags"))
     hits = tokens.select(key, token).join(values, tokens[token] == values["value"])
     # Tags of a value come as one array, so a token with many tags does not multiply its posts.
-    found = hits.groupBy(key).agg(F.array_distinct(F.flatten(F.collect_set("tags"))).alias("tags"))
-    return found.select(key, F.explode("tags").alias("tag"))
+    return hits.select(key, "tags").distinct().select(key, F.explode("tags").alias("tag")).distinct()
 
 
 def containing_any(posts: DataFrame, wanted: Iterable[str]) -> DataFrame:

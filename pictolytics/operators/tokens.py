@@ -57,9 +57,13 @@ def distinct_emoji(text: Column, strip: bool = True) -> Column:
 
 
 def explode_words(posts: DataFrame, per_post: bool = False, text: str = "text") -> DataFrame:
-    """Add a ``word`` column, one row per whitespace-separated word, or per post and word."""
+    """Add a ``word`` column, one row per whitespace-separated word, or per post and word.
+
+    Outer, so that no filter on the words is made up and pushed below, which would cut every text twice.
+    """
     words = word_tokens(F.col(text))
-    return posts.select("*", F.explode(F.array_distinct(words) if per_post else words).alias("word"))
+    rows = posts.select("*", F.explode_outer(F.array_distinct(words) if per_post else words).alias("word"))
+    return rows.where(F.col("word").isNotNull())
 
 
 def split_tone(tokens: DataFrame, token: str = "emoji") -> DataFrame:

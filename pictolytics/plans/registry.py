@@ -226,9 +226,10 @@ def tag_by_rules(spark, folder):
 @query
 def tag_by_token_rules(spark, folder):
     """Documents by the roles that use one of their words in a conversation."""
-    spoken = _words(spark, folder, "conversations", per_post=True)
+    # Turns and documents lie in few row groups: dealt over all tasks before they are cut.
+    turns = D.table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").repartition("conv_id", "turn")
+    spoken = T.explode_words(turns, per_post=True)
     rules = spoken.select(F.col("word").alias("value"), F.col("role").alias("tag")).distinct()
-    # The documents lie in one row group: dealt over all tasks before they are cut.
     documents = D.table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id")
     return G.tag_by_token_rules(T.explode_words(documents, per_post=True), rules, "word", key="doc_id")
 

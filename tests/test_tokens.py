@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from conftest import plan_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -144,6 +145,21 @@ def test_rules_and_search(spark, make_posts):
     assert sorted(map(tuple, found)) == [(1, "pet"), (1, "soft"), (2, "pet"), (2, "soft"), (3, "pet")]
 
 
+def test_token_rules_collect_no_token_and_cut_once(spark, make_posts):
+    from pictolytics.operators import tagging as G
+
+    posts = make_posts([(i, f"w{i % 300} w{i % 7} w{i % 300}") for i in range(600)] + [(600, None), (601, " ")])
+    said = [(f"w{i % 400}", f"t{i % 3}") for i in range(2400)]  # copies of rules
+    rules = spark.createDataFrame([*said, ("w1", None), (None, "t9")], "value string, tag string")
+    tagged = G.tag_by_token_rules(T.explode_words(posts, per_post=True).repartition(4), rules, "word")
+    expected = {(i, t) for i in range(600) for v, t in said if v in (f"w{i % 300}", f"w{i % 7}")}
+    plan = plan_of(tagged)
+    assert sorted(map(tuple, tagged.collect())) == sorted(expected)
+    assert "collect_set" not in plan  # it sorts all rows once a task has many groups
+    cut = T.explode_words(posts)
+    assert plan_of(cut, run=False).count("split(") == 1
+
+
 def test_texts_of_any_length_return(spark):
     unit = "\U0001F469\u200D"
     texts = {
