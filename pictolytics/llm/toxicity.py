@@ -3,17 +3,20 @@
 The later models are trained with out-of-fold probabilities of the earlier ones, so that they see
 at training time what they will see at scoring time: predictions for texts the model was not fitted on.
 The models are sparse linear ones over the distinct words of a text and their beginnings, hashed to 32 bits where the
-text is read. They are fitted with numpy on a bounded sample of labelled texts; all documents are scored by Spark.
+text is read. They are fitted with numpy on a bounded sample of labelled texts, in a task, so that the driver holds no
+more than the model; all documents are scored by Spark.
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,6 +117,48 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(np.clip((p[best] + (p[best + 1] if best + 1 < len(p) else 0.0)) / 2, *CUTS))
 
 
+def _fitted(found: pa.Table, categories: Sequence[str], names: Sequence[str], folds: int, least_docs: int, epochs: int, l1: float) -> Chain:
+    """The chain of a sample: ``_h``, a hash of the key, ``_words``, the features, and the labels ``names``."""
+    found = found.append_column("_n", pc.list_value_length(found["_words"]))
+    found = found.sort_by([("_h", "ascending"), ("_n", "ascending")])
+
+    split = [w.values.to_numpy().view(np.uint32) for w in found["_words"]]
+    known, counts = np.unique(np.concatenate(split) if split else np.empty(0, np.uint32), return_counts=True)
+    known = known[counts >= least_docs]
+    x = []
+    for words in split:
+        place = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
+        x.append(place[known[place] == words].astype(np.int32) if len(known) else np.empty(0, np.int32))
+    fold = found["_h"].to_numpy() % folds
+    dense = np.ones((len(split), 1))
+    chain = Chain(tuple(categories), np.zeros(len(categories)), np.zeros((len(categories),) * 2))
+    weights = np.zeros((len(known), len(categories)))
+    for i, name in enumerate(names):
+        y = found[name].to_numpy(zero_copy_only=False).astype(float)
+        rows = np.flatnonzero(~np.isnan(y))
+        classes = np.unique(y[rows])
+        if len(classes) < 2:
+            chain.bias[i] = 35.0 if len(classes) and classes[0] > 0.5 else -35.0
+            held = np.full(len(split), float(chain.bias[i] > 0))
+            chain.thresholds[categories[i]] = 0.5
+        else:
+            w = _sparse_linear(x, dense, y, rows, len(known), epochs, l1)
+            weights[:, i], chain.bias[i], chain.given[i, :i] = w[: len(known)], w[len(known)], w[len(known) + 1 :]
+            held = np.zeros(len(split))
+            for f in range(folds):
+                w = _sparse_linear(x, dense, y, rows[fold[rows] != f], len(known), epochs, l1)
+                out = np.flatnonzero(fold == f)
+                if len(out):
+                    ids, at = _flat([x[r] for r in out])
+                    score = np.bincount(at, w[ids], minlength=len(out)) + dense[out] @ w[len(known) :]
+                    held[out] = 1 / (1 + np.exp(-np.clip(score, -35, 35)))
+            chain.thresholds[categories[i]] = _threshold(held[rows], y[rows])
+        dense = np.column_stack([dense, held - 0.5])
+    used = weights.any(axis=1)
+    chain.known, chain.weights = known[used], weights[used]
+    return chain
+
+
 def fit_chain(
     docs: DataFrame,
     labels: DataFrame,
@@ -157,45 +202,17 @@ def fit_chain(
     found = landed(read.mapInArrow(hashed, f"_h long, _words array<int>, {kinds}"), "toxicity")
     total = found.agg(F.sum(F.size("_words"))).first()[0] or 0
     share *= min(1.0, sample_features / max(1, total))
-    found = found.where(F.pmod("_h", F.lit(slots)) < F.lit(int(share * slots))).toArrow()
-    found = found.append_column("_n", pa.array([len(w) for w in found["_words"]], pa.int64()))
-    found = found.sort_by([("_h", "ascending"), ("_n", "ascending")])
+    found = found.where(F.pmod("_h", F.lit(slots)) < F.lit(int(share * slots)))
+    schema = pa.schema([("_h", pa.int64()), ("_words", pa.list_(pa.int32())), *((n, pa.float64()) for n in names)])
+    settings = (tuple(categories), names, folds, least_docs, epochs, l1)
 
-    split = [w.values.to_numpy().view(np.uint32) for w in found["_words"]]
-    known, counts = np.unique(np.concatenate(split) if split else np.empty(0, np.uint32), return_counts=True)
-    known = known[counts >= least_docs]
-    x = []
-    for words in split:
-        place = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
-        x.append(place[known[place] == words] if len(known) else np.empty(0, np.int64))
-    fold = found["_h"].to_numpy() % folds
-    dense = np.ones((len(split), 1))
-    chain = Chain(tuple(categories), np.zeros(len(categories)), np.zeros((len(categories),) * 2))
-    weights = np.zeros((len(known), len(categories)))
-    for i, name in enumerate(names):
-        y = found[name].to_numpy(zero_copy_only=False).astype(float)
-        rows = np.flatnonzero(~np.isnan(y))
-        classes = np.unique(y[rows])
-        if len(classes) < 2:
-            chain.bias[i] = 35.0 if len(classes) and classes[0] > 0.5 else -35.0
-            held = np.full(len(split), float(chain.bias[i] > 0))
-            chain.thresholds[categories[i]] = 0.5
-        else:
-            w = _sparse_linear(x, dense, y, rows, len(known), epochs, l1)
-            weights[:, i], chain.bias[i], chain.given[i, :i] = w[: len(known)], w[len(known)], w[len(known) + 1 :]
-            held = np.zeros(len(split))
-            for f in range(folds):
-                w = _sparse_linear(x, dense, y, rows[fold[rows] != f], len(known), epochs, l1)
-                out = np.flatnonzero(fold == f)
-                if len(out):
-                    ids, at = _flat([x[r] for r in out])
-                    score = np.bincount(at, w[ids], minlength=len(out)) + dense[out] @ w[len(known) :]
-                    held[out] = 1 / (1 + np.exp(-np.clip(score, -35, 35)))
-            chain.thresholds[categories[i]] = _threshold(held[rows], y[rows])
-        dense = np.column_stack([dense, held - 0.5])
-    used = weights.any(axis=1)
-    chain.known, chain.weights = known[used], weights[used]
-    return chain
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches([b.cast(schema) for b in batches], schema)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(vars(_fitted(table, *settings)))], pa.binary())], ["chain"])
+
+    # One task reads the sample, which is bounded. Without any partition there is no task.
+    model = found.coalesce(1).mapInArrow(fit, "chain binary").first()
+    return Chain(**pickle.loads(model[0])) if model else _fitted(schema.empty_table(), *settings)
 
 
 def score_chain(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import io
+import os
 import random
 import re
 import zlib
@@ -504,6 +505,25 @@ def test_chain_without_labels_or_texts(spark, docs, empty):
     assert toxicity.score_chain(empty, chain).collect() == []
 
 
+def test_chain_is_fitted_in_a_task(spark, monkeypatch):
+    """The driver gets the model, never the sample; an empty table and one without files give the same chain."""
+    rows = [(i, "bad words here" if i % 2 else "fine words there", i % 2) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    real, driver = toxicity._sparse_linear, os.getpid()
+
+    def elsewhere(*args):
+        assert os.getpid() != driver
+        return real(*args)
+
+    monkeypatch.setattr(toxicity, "_sparse_linear", elsewhere)
+    chain = toxicity.fit_chain(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), ("toxic",))
+    assert len(chain.known) and len(chain.known) == len(chain.weights)
+    scored = toxicity.score_chain(frame, chain).where("(p_toxic > 0.5) = (toxic = 1)")
+    assert scored.count() == 60
+    none = toxicity.fit_chain(frame.select("doc_id", "text").limit(0), frame.select("doc_id", "toxic"), ("toxic",))
+    assert not len(none.known) and none.bias[0] == -35
+
+
 # URLs
 
 
