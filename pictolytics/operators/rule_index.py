@@ -106,6 +106,17 @@ def _parts(values: DataFrame) -> DataFrame:
     return values.select("value", F.explode(used).alias("x")).select("value", "x.*")
 
 
+def _wanted_only(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` may be among the ``key`` of ``keys``, hashes both, not to be broadcast.
+
+    Rows of the corpus are many more than their files tell, as words repeat and keys are exploded. So they go through a
+    bitmap where they are made, and what is left is shuffled.
+    """
+    hashes = keys.select(F.col("key").alias("h")).distinct()
+    bits, size = _bitmap(hashes, hashes.count())
+    return rows.where(F.getbit(F.get(bits, _place(F.col("key"), size)), _bit(F.col("key"))) == 1).hint("merge")
+
+
 def _pair_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> DataFrame:
     """Word pairs of the corpus that two parts can stand for: ``kind``, ``part``, ``next``, hash and count."""
     wanted = parts.where(F.contains("kind", F.lit(" "))).select("kind", "part", "next").distinct()
@@ -116,36 +127,46 @@ def _pair_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> D
     # Partial counts leave a row per word pair and task, however common it is.
     met = met.groupBy("left", "right").agg(F.count("*").alias("n"))
     keys = F.array(*[F.xxhash64(F.right("left", F.lit(a)), F.left("right", F.lit(b))) for a, b in sizes] or [F.lit(None).cast("bigint")])
-    found = met.withColumn("key", F.explode(F.array_distinct(keys))).join(wanted, "key")
+    found = _wanted_only(met.withColumn("key", F.explode(F.array_distinct(keys))), wanted).join(wanted, "key")
     whole_left, whole_right = F.startswith("kind", F.lit("whole")), F.endswith("kind", F.lit("whole"))
     left = F.endswith("left", "part") & (~whole_left | (F.col("left") == F.col("part")))
     right = F.startswith("right", "next") & (~whole_right | (F.col("right") == F.col("next")))
     return found.where(left & right).select("kind", "part", "next", F.xxhash64("left", "right").alias("h"), "n")
 
 
-def _word_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> DataFrame:
-    """The same for single parts and words."""
-    wanted = parts.where(~F.contains("kind", F.lit(" "))).select("kind", "part").distinct()
+def _word_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> DataFrame | None:
+    """The same for single parts and words; None where there is no single part, which saves a pass over the texts."""
+    length = F.least(F.char_length("part"), F.lit(size))
+    wanted = parts.where(~F.contains("kind", F.lit(" "))).select("kind", "part", length.alias("size")).distinct()
+    kinds = {r[0]: sorted(r[1]) for r in wanted.groupBy("kind").agg(F.collect_set("size")).collect()}  # four kinds, ``size`` sizes
+    if not kinds:
+        return None
     words = posts.select(F.explode_outer(F.concat(_split(F.col(text)), F.array(F.lit(EVERYWHERE)))).alias("word"))
     words = words.where(F.col("word").isNotNull())
     vocabulary = stored(words.groupBy("word").agg(F.count("*").alias("n")), "vocabulary")
-    length = F.least(F.char_length("part"), F.lit(size))
     kept = ("kind", "part", "word", "n")
-    out = [wanted.where("kind = 'whole'").join(vocabulary, F.col("part") == F.col("word")).select(*kept)]
+    out = []
+    if "whole" in kinds:
+        keyed = wanted.where("kind = 'whole'").withColumn("key", F.xxhash64("part"))
+        found = _wanted_only(vocabulary.withColumn("key", F.xxhash64("word")), keyed)
+        out.append(keyed.join(found, "key").where(F.col("part") == F.col("word")).select(*kept))
     for kind, cut, holds in (("begin", F.left, F.startswith), ("end", F.right, F.endswith)):
-        keyed = wanted.where(F.col("kind") == kind).withColumn("key", cut("part", length))
-        keys = F.array_distinct(F.array(*[cut(F.col("word"), F.lit(s)) for s in range(1, size + 1)]))
-        ends = vocabulary.select("word", "n", F.explode(keys).alias("key"))
-        out.append(keyed.join(ends, "key").where(holds("word", "part")).select(*kept))
-    # Of the q-grams of a part that lies anywhere in a word, the one that fewest words hold is looked up.
-    within = wanted.where("kind = 'within'").withColumn("size", length)
-    grams = vocabulary.select("word", "n", F.explode(F.concat(*[_grams(F.col("word"), s) for s in range(1, size + 1)])).alias("key"))
-    own = F.coalesce(*[F.when(F.col("size") == s, _grams(F.col("part"), s)) for s in range(1, size + 1)])
-    keyed = within.select("part", F.explode(own).alias("key"))
-    held = grams.join(keyed.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.count("*").alias("words"))
-    rarest = keyed.join(held, "key").groupBy("part").agg(F.min(F.struct("words", "key")).alias("r")).select("part", F.col("r.key").alias("key"))
-    found = rarest.join(grams, "key").where(F.contains("word", "part"))
-    out.append(found.select(F.lit("within").alias("kind"), "part", "word", "n"))
+        if kind in kinds:
+            keyed = wanted.where(F.col("kind") == kind).withColumn("key", F.xxhash64(cut("part", F.col("size"))))
+            keys = F.array_distinct(F.array(*[F.xxhash64(cut(F.col("word"), F.lit(s))) for s in kinds[kind]]))
+            ends = _wanted_only(vocabulary.select("word", "n", F.explode(keys).alias("key")), keyed)
+            out.append(keyed.join(ends, "key").where(holds("word", "part")).select(*kept))
+    if "within" in kinds:
+        # Of the q-grams of a part that lies anywhere in a word, the one that fewest words hold is looked up.
+        within = wanted.where("kind = 'within'")
+        own = F.coalesce(*[F.when(F.col("size") == s, _grams(F.col("part"), s)) for s in kinds["within"]])
+        keyed = within.select("part", F.explode(own).alias("gram")).select("part", F.xxhash64("gram").alias("key"))
+        grams = vocabulary.select("word", "n", F.explode(F.concat(*[_grams(F.col("word"), s) for s in kinds["within"]])).alias("gram"))
+        grams = stored(_wanted_only(grams.select("word", "n", F.xxhash64("gram").alias("key")), keyed), "grams").hint("merge")
+        held = grams.groupBy("key").agg(F.count("*").alias("words"))
+        rarest = keyed.join(held, "key").groupBy("part").agg(F.min(F.struct("words", "key")).alias("r")).select("part", F.col("r.key").alias("key"))
+        found = rarest.join(grams, "key").where(F.contains("word", "part"))
+        out.append(found.select(F.lit("within").alias("kind"), "part", "word", "n").distinct())
     return reduce(DataFrame.unionByName, out).select("kind", "part", F.lit("").alias("next"), F.xxhash64("word").alias("h"), "n")
 
 
@@ -154,8 +175,8 @@ def _anchored(posts: DataFrame, rules: DataFrame, text: str, size: int) -> tuple
     values = rules.where(F.col("value").isNotNull() & F.col("tag").isNotNull()).groupBy("value").agg(F.sort_array(F.collect_set("tag")).alias("tags"))
     values = stored(values.select(F.monotonically_increasing_id().alias("rule"), "value", "tags"), "rules")
     parts = _parts(values)
-    matches = _pair_matches(parts, posts, text, size).unionByName(_word_matches(parts, posts, text, size))
-    matches = stored(matches, "rule-words")
+    matches, single = _pair_matches(parts, posts, text, size), _word_matches(parts, posts, text, size)
+    matches = stored(matches.unionByName(single) if single else matches, "rule-words")
     part = ["kind", "part", "next"]
     weights = matches.groupBy(*part).agg(F.sum("n").alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), *part)).alias("x")

@@ -112,3 +112,17 @@ def test_a_rule_with_many_words_is_held_once(spark):
     tagged = R.tag_by_rule_table(p, r, held_bytes=40_000)  # 300 hashes of the first rule, its text once
     assert found(tagged) == brute(posts, rules)
     assert "_maybe" not in plan_of(tagged, run=False)
+
+
+def test_corpus_is_never_broadcast(spark, with_conf, tmp_path):
+    """A vocabulary that is small on disk makes many more q-grams than its files tell."""
+    rows = spark.range(3000).select(F.col("id").alias("tweet_id"), F.concat(F.lit("w"), F.md5(F.col("id").cast("string"))).alias("text"))
+    rules = spark.createDataFrame([("abc", "within"), ("w1 ", "end"), (" w12", "begin"), ("zz w1", "pair")], "value string, tag string")
+    values = rules.select("value")
+    with_conf(spark__sql__autoBroadcastJoinThreshold="10m")
+    for matches in (R._word_matches(R._parts(values), rows, "text", 4), R._pair_matches(R._parts(values), rows, "text", 4)):
+        plan = plan_of(matches, run=False)
+        sides = [line for line in plan.splitlines() if "BuildRight" in line or "BuildLeft" in line]
+        assert not sides and "SortMergeJoin" in plan
+    made = R._wanted_only(rows.select("text", F.explode(R._grams(F.col("text"), 4)).alias("g")).select("text", F.xxhash64("g").alias("key")), rows.limit(2).select(F.xxhash64(F.left("text", F.lit(4))).alias("key")))
+    assert made.count() < 3000  # of 90,000
