@@ -2,11 +2,15 @@
 
 A value may begin and end inside words. Its white space parts it: what lies between two white spaces is a whole
 word of any text that holds the value, the first part ends a word and the last one begins one, and a value
-without white space lies within a word. So what two neighbouring parts, or a single one, can stand for is looked up
-among the different word pairs and words of the corpus, by q-grams at the place where the parts meet, and never
-in the texts. The pair whose words are rarest in the corpus is the value's anchor. Texts are joined with the
-anchors by the hashes of their words and word pairs, and what is joined is verified by ``contains``: the time depends
-on the texts and on what they hold, hardly on the number of rules.
+without white space lies within a word. A value with two neighbouring parts or more is known by the q-grams at the place
+where two of them meet, hashed; of its pairs the one that fewest values share, the longest of these, is its
+anchor. Texts are joined with the anchors by the hashes of their neighbouring words' ends, of a length that occurs, so
+that the index is as large as the rules, however many words the texts have. For values with a single part, what it
+can stand for is looked up among the different words of the corpus, also by q-grams, and the part whose words are rarest
+is the anchor, joined by the hashes of words. What is joined is verified by ``contains``: the time depends on the texts and
+on what they hold, hardly on the number of rules.
+
+``rule_index`` looks word pairs up in the corpus as well, and takes the rarest.
 
 Most hashes of a text belong to no anchor. They are dropped where they are made, by a bitmap whose size follows
 the number of anchors up to a fixed bound; beyond it more of them pass, to be dropped by the join.
@@ -39,15 +43,19 @@ def _split(text: Column) -> Column:
     return F.split(text, r"\s+", -1)
 
 
-def _cut(posts: DataFrame, text: str, *kept: str) -> DataFrame:
+def _cut(posts: DataFrame, text: str, *kept: str, gaps: bool = False) -> DataFrame:
     """``kept`` and, for each word of the texts, its place ``at``, ``left`` and the right neighbour ``right``, null for the last word.
 
+    With ``gaps`` also the white space ``gap`` between the two.
+
     No lambda takes part, so that Spark compiles all of it into the loop over the words, where a text is no more than
     a reference. Outer, so that no filter on the words is made up and pushed below, which would cut every text twice.
     """
-    cut = posts.select(*kept, _split(F.col(text)).alias("_words"))
-    words = cut.select(*kept, "_words", F.posexplode_outer("_words").alias("at", "left"))
-    return words.select(*kept, "at", "left", F.get("_words", F.col("at") + 1).alias("right"))
+    between = [F.regexp_extract_all(F.col(text), F.lit(r"\s+"), F.lit(0)).alias("_gaps")] if gaps else []
+    cut = posts.select(*kept, _split(F.col(text)).alias("_words"), *between)
+    words = cut.select(*kept, *cut.columns[len(kept) :], F.posexplode_outer("_words").alias("at", "left"))
+    gap = [F.get("_gaps", F.col("at")).alias("gap")] if gaps else []
+    return words.select(*kept, "at", "left", F.get("_words", F.col("at") + 1).alias("right"), *gap)
 
 
 def _grams(word: Column, size: int) -> Column:
@@ -73,16 +81,34 @@ def _bitmap(hashes: DataFrame, n: int) -> tuple[Column, int]:
     return every.agg(F.transform(pairs, lambda p: p["word"])).scalar(), words
 
 
-def _possible(posts: DataFrame, text: str, hashes: DataFrame, n: int) -> DataFrame:
-    """``posts`` with ``h``: a row for each place of a word or word pair whose hash has its bit set."""
+def _possible(posts: DataFrame, text: str, hashes: DataFrame, n: int, sizes: list[tuple[int, int]], single: bool) -> DataFrame:
+    """``posts`` with ``h``: a row for each place of a word, or of two words' ends of these sizes, whose hash has its bit set.
+
+    ``left``, ``gap`` and ``right`` are what stands at that place.
+    """
     bits, size = _bitmap(hashes, n)
-    everywhere = F.when(F.col("at") == 0, F.xxhash64(F.lit(EVERYWHERE)))
-    pair = F.when(F.col("right").isNotNull(), F.xxhash64("left", "right"))
-    own = F.array(F.xxhash64("left"), pair, everywhere)
-    rows = _cut(posts, text, *posts.columns).select(*posts.columns, F.explode(own).alias("h"))
+    cut = _cut(posts, text, *posts.columns, gaps=True)
+    # Each end of a word is cut and hashed once; the pairs of lengths combine hashes only.
+    lasts = {a: _last(F.col("left"), F.lit(a)).alias(f"_last{a}") for a, _ in sizes}
+    firsts = {b: _first(F.col("right"), F.lit(b)).alias(f"_first{b}") for _, b in sizes}
+    whole = [F.xxhash64("left").alias("_word"), F.when(F.col("at") == 0, F.xxhash64(F.lit(EVERYWHERE))).alias("_everywhere")] if single else []
+    place = [*posts.columns, "left", "gap", "right"]
+    cut = cut.select(*place, *lasts.values(), *firsts.values(), *whole)
+    words = [F.col("_word"), F.col("_everywhere")] if single else []
+    own = F.array(*words, *[F.xxhash64(f"_last{a}", f"_first{b}") for a, b in sizes] or [F.lit(None).cast("bigint")])
+    rows = cut.select(*place, F.explode(own).alias("h"))
     return rows.where(F.getbit(F.get(bits, _place(F.col("h"), size)), _bit(F.col("h"))) == 1)
 
 
+def _last(word: Column, n: Column) -> Column:
+    """Hash of the last ``n`` characters, of all of a shorter word."""
+    return F.xxhash64(F.right(word, n))
+
+
+def _first(word: Column, n: Column) -> Column:
+    return F.xxhash64(F.left(word, n))
+
+
 def _parts(values: DataFrame) -> DataFrame:
     """``value``, ``kind``, ``part`` and ``next``: what a text must show where the value occurs.
 
@@ -170,19 +196,33 @@ def _word_matches(parts: DataFrame, posts: DataFrame, text: str, size: int) -> D
     return reduce(DataFrame.unionByName, out).select("kind", "part", F.lit("").alias("next"), F.xxhash64("word").alias("h"), "n")
 
 
-def _anchored(posts: DataFrame, rules: DataFrame, text: str, size: int) -> tuple[DataFrame, DataFrame]:
-    """``h`` and ``rule``: the hashes of the words, or word pairs, of each value's anchor; ``rule``, ``value`` and ``tags``."""
+def _values(rules: DataFrame) -> DataFrame:
+    """``rule``, ``value`` and ``tags``, written once."""
     values = rules.where(F.col("value").isNotNull() & F.col("tag").isNotNull()).groupBy("value").agg(F.sort_array(F.collect_set("tag")).alias("tags"))
-    values = stored(values.select(F.monotonically_increasing_id().alias("rule"), "value", "tags"), "rules")
-    parts = _parts(values)
-    matches, single = _pair_matches(parts, posts, text, size), _word_matches(parts, posts, text, size)
-    matches = stored(matches.unionByName(single) if single else matches, "rule-words")
+    return stored(values.select(F.monotonically_increasing_id().alias("rule"), "value", "tags"), "rules")
+
+
+def _by_words(values: DataFrame, parts: DataFrame, matches: DataFrame) -> DataFrame:
+    """``h`` and ``rule``: of each value the part whose words, or word pairs, are rarest."""
+    matches = stored(matches, "rule-words")
     part = ["kind", "part", "next"]
     weights = matches.groupBy(*part).agg(F.sum("n").alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), *part)).alias("x")
     anchors = parts.join(weights, part, "left").groupBy("value").agg(rarest).where(F.col("x.n") > 0).select("value", *[f"x.{c}" for c in part])
     index = matches.join(anchors, part).join(values, "value")
-    return stored(index.select("h", "rule").distinct(), "rule-index"), values
+    return index.select("h", "rule").distinct()
+
+
+def _by_ends(values: DataFrame, parts: DataFrame, size: int) -> DataFrame:
+    """``h``, ``rule``, ``a`` and ``b``: of each value the two neighbouring parts whose meeting ends fewest values share."""
+    ends = [F.least(F.char_length(c), F.lit(size)).alias(n) for c, n in (("part", "a"), ("next", "b"))]
+    pairs = parts.where(F.contains("kind", F.lit(" "))).select("value", "part", "next", *ends)
+    pairs = pairs.withColumn("h", F.xxhash64(_last(F.col("part"), F.col("a")), _first(F.col("next"), F.col("b"))))
+    shared = pairs.groupBy("h").agg(F.count_distinct("value").alias("n"))
+    length = F.char_length("part") + F.char_length("next")
+    best = F.min(F.struct("n", (-F.col("a") - F.col("b")).alias("ends"), (-length).alias("length"), "h", "a", "b")).alias("x")
+    anchors = pairs.join(shared, "h").groupBy("value").agg(best)
+    return anchors.join(values, "value").select("x.h", "rule", "x.a", "x.b")
 
 
 def rule_index(posts: DataFrame, rules: DataFrame, text: str = "text", size: int = SIZE) -> DataFrame:
@@ -191,7 +231,10 @@ def rule_index(posts: DataFrame, rules: DataFrame, text: str = "text", size: int
     ``rules`` has columns ``value`` and ``tag``; null values and tags stand for nothing. An index made for some
     posts holds for these only: a value that has a part without any word there has no row.
     """
-    index, values = _anchored(posts, rules, text, size)
+    values = _values(rules)
+    parts = _parts(values)
+    matches, single = _pair_matches(parts, posts, text, size), _word_matches(parts, posts, text, size)
+    index = stored(_by_words(values, parts, matches.unionByName(single) if single else matches), "rule-index")
     return index.join(values, "rule").select("h", "value", "tags")
 
 
@@ -207,16 +250,26 @@ def tag_by_rule_table(
     An index of up to ``held_bytes`` goes to where the texts are. A larger one is joined with the hashes alone,
     and the texts with what they may hold, once.
     """
-    index, values = _anchored(posts, rules, text, size)
+    values = _values(rules)
+    parts = stored(_parts(values), "rule-parts")
+    ends = stored(_by_ends(values, parts, size), "rule-ends")
+    sizes = [tuple(r) for r in ends.select("a", "b").distinct().collect()]  # at most the square of ``size``
+    index, words = ends.select("h", "rule"), _word_matches(parts, posts, text, size)
+    if words:
+        index = stored(index.unionByName(_by_words(values, parts.where(~F.contains("kind", F.lit(" "))), words)), "rule-index")
     tags_bytes = F.aggregate("tags", F.lit(0).cast("bigint"), lambda acc, t: acc + F.octet_length(t))
     held = index.count() * ROW_BYTES + (values.agg(F.sum(F.octet_length("value") + tags_bytes + 64)).first()[0] or 0)
     hashes = index.select("h").distinct()
     named = posts.where(F.col(text).isNotNull())
-    named = named.select(F.col(key).alias("_key"), F.md5(text).alias("_own"), F.col(text).alias("_text"))
-    possible = _possible(named, "_text", hashes, hashes.count())
+    named = named.select(F.col(key).alias("_key"), F.unhex(F.md5(text)).alias("_own"), F.col(text).alias("_text"))
+    possible = _possible(named, "_text", hashes, hashes.count(), sizes, words is not None)
     if held <= held_bytes:
-        met = possible.join(F.broadcast(index), "h").join(F.broadcast(values), "rule")
-        hits = met.where(F.contains("_text", "value")).select("_key", "_own", "tags")
+        # A value of two parts occurs where its two words meet, so that the text need not be searched.
+        parted = _split(F.col("value"))
+        two = (F.size(parted) == 2) & (F.get(parted, F.lit(0)) != "") & (F.get(parted, F.lit(1)) != "")
+        met = possible.join(F.broadcast(index), "h").join(F.broadcast(values.select("*", two.alias("_two"))), "rule")
+        here = F.contains(F.concat("left", "gap", "right"), F.col("value"))
+        hits = met.where(F.when(F.col("_two"), here).otherwise(F.contains("_text", "value"))).select("_key", "_own", "tags")
     else:
         hits = possible.select("_key", "_own", "h").distinct().join(index, "h").join(values, "rule")
         maybe = hits.groupBy("_key", "_own").agg(F.collect_set(F.struct("value", "tags")).alias("_maybe"))

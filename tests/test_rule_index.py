@@ -126,3 +126,15 @@ def test_corpus_is_never_broadcast(spark, with_conf, tmp_path):
         assert not sides and "SortMergeJoin" in plan
     made = R._wanted_only(rows.select("text", F.explode(R._grams(F.col("text"), 4)).alias("g")).select("text", F.xxhash64("g").alias("key")), rows.limit(2).select(F.xxhash64(F.left("text", F.lit(4))).alias("key")))
     assert made.count() < 3000  # of 90,000
+
+
+@pytest.mark.parametrize("held", [0, R.HELD_BYTES])
+def test_index_of_pairs_is_as_large_as_the_rules(spark, monkeypatch, held):
+    """However many word pairs of the texts a value can stand for; no pairs of the corpus are counted."""
+    posts = [(i, f"x{i}of the{i} long{i}er\tpart{i % 7} of 1") for i in range(200)]
+    rules = [("of the", "all"), ("f the1", "some"), ("er\tpart3 of", "tab"), ("er part3 of", "no"), ("5of the5 ", "one"), ("part1 of 1", "last")]
+    p, r = spark.createDataFrame(posts, "tweet_id long, text string"), spark.createDataFrame(rules, "value string, tag string")
+    values = r.select("value", F.monotonically_increasing_id().alias("rule"))
+    assert R._by_ends(values, R._parts(values), 4).count() == len(rules)
+    monkeypatch.setattr(R, "_pair_matches", None)
+    assert found(R.tag_by_rule_table(p, r, held_bytes=held)) == brute(posts, rules)
