@@ -1,6 +1,7 @@
 import uuid
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from pictolytics.operators import authors as A
@@ -101,3 +102,19 @@ def test_followed_authors(make_posts, make_authors, with_conf, broadcast):
     )
     authors = make_authors({1: 101, 2: 100, 4: 900})
     assert [tuple(r) for r in Q.used_by_followed_authors(posts, authors, 100).collect()] == [("😀", 2), ("🎉", 1)]
+
+
+@pytest.mark.parametrize("held", [0, 10])
+def test_only_copies_of_posts_are_shuffled(make_posts, with_conf, held):
+    with_conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [{"tweet_id": i % 40, "like_count": i} for i in range(45)] + [{"tweet_id": None, "like_count": i} for i in (1, 1, 2)]
+    posts = make_posts(rows)
+    unique = A.unique_posts(posts, held_ids=held)
+    assert unique.columns == posts.columns
+    found = [(r.tweet_id, r.like_count) for r in unique.collect()]
+    want = [(i, i + 40 if i < 5 else i) for i in range(40)] + [(None, i) for i in (1, 1, 2)]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    lone = A.unique_posts(posts.where("tweet_id > 4 or tweet_id is null"), held_ids=held)
+    assert "Exchange" not in plan_of(lone) and lone.count() == 38
+    if held:
+        assert "LeftAnti" in plan_of(unique) and "Exchange hashpartitioning(tweet_id" in str(unique._jdf.queryExecution().executedPlan())
