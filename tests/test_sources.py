@@ -171,3 +171,30 @@ def test_landed_files_are_packed_and_texts_come_late(spark, make_posts, make_aut
         assert sorted(map(str, read(small).collect())) == sorted(map(str, read(plain).collect()))
         sizes = [sum(f.stat().st_size for f in (tmp_path / f"{n}-{pack.__name__}").glob("*.json*")) for n in ("plain", "small")]
         assert sizes[1] * 3 < sizes[0], sizes
+
+
+def test_pages_are_gathered_in_portions(spark, monkeypatch, tmp_path):
+    """The same pages however many portions; a written portion leaves no shuffle files behind."""
+    from conftest import TABLES
+    from pictolytics.plans import registry
+
+    whole = registry.REGISTRY["pages_lineage"](spark, TABLES).collect()
+    calls = []
+    write = registry.R.write_landing
+    monkeypatch.setattr(registry.R, "write_landing", lambda *a, **b: calls.append(1) or write(*a, **b))
+    monkeypatch.setattr(registry, "PORTION_BYTES", registry.D.text_bytes(spark, TABLES) // 3 + 1)
+    before = _shuffled_bytes(spark)
+    parted = registry._landed_pages(spark, TABLES)
+    assert len(calls) == 3 and parted.count() == 10 and len({p.page_token for p in parted.collect()}) == 10
+    assert sorted(registry.REGISTRY["pages_lineage"](spark, TABLES).collect()) == sorted(whole)
+    assert len(calls) == 6 and _shuffled_bytes(spark) - before < registry.D.text_bytes(spark, TABLES) / 20
+
+
+def _shuffled_bytes(spark):
+    """Of shuffle files that are still there."""
+    import time
+    from pathlib import Path
+
+    time.sleep(1)  # they are removed in the background
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(f.stat().st_size for d in folders for f in Path(d).rglob("shuffle_*.data"))
