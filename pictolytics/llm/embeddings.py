@@ -7,30 +7,34 @@ partner could lie: two unit vectors with a cosine of t or more are at most sqrt(
 side of the border between two centroids can only be met by a vector that is that near to the border. Every
 link is found by that, whatever the centroids are. A cell whose division would copy more than it saves (most of its
 vectors lie near all borders) stays whole. Cells are compared in blocks of a bounded size, guests only with those at home.
+
+A vector is copied once for each block that it is compared with, so blocks are large and a task compares two of them
+tile by tile, in memory that does not grow with them. Vectors are moved and kept as they were given, in single precision
+where that is what they have, and scaled to unit length, in double precision, where they are compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pictolytics.llm.common import landed
+from pictolytics.llm import common
 from pictolytics.llm.components import components
+from pictolytics.session import shuffles_freed
 
 COSINE = 0.98
-#: Rows of a block; two blocks are compared at a time.
-BLOCK = 1024
+#: Rows of a block; two blocks are compared in a task, as many rows of both at a time as a tile has.
+BLOCK = 16384
+TILE = 1024
 #: Vectors that the centroids of a cell are fitted on, about, and the most parts of one division.
 SAMPLE = 8192
 PARTS = 256
 #: Rows that a part of a divided cell should have, and rows above which a cell is divided.
-CELL_ROWS = 2048
-DIVIDED_ABOVE = 2048
+CELL_ROWS = 16384
+DIVIDED_ABOVE = 65536
 #: A copy of a vector for a visit costs as much as so many comparisons.
 COPY_COST = 500
 #: A division must leave at most this share of a cell's cost.
@@ -41,6 +45,12 @@ PIECE = 8192
 LEVELS = 32
 
 
+def landed(df: DataFrame, purpose: str) -> DataFrame:
+    """Written and read again; its shuffle files go at once."""
+    with shuffles_freed(df.sparkSession):
+        return common.landed(df, purpose)
+
+
 def spherical_kmeans(x: np.ndarray, k: int, steps: int = 12, seed: int = 7) -> np.ndarray:
     """Centroids of unit length; empty cells keep their last centroid."""
     pick = np.random.default_rng(seed).choice(len(x), size=min(k, len(x)), replace=False)
@@ -60,6 +70,7 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # keeps the squares within range
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -92,19 +103,20 @@ def _divided(placed: DataFrame, level: int, chord: float, sample: int, cell_rows
     drawn = rows.where(F.pmod(F.xxhash64("_first", F.lit(level)), F.lit(slots)) < F.ceil(F.lit(sample * slots) / F.col("_n")))
 
     def fit(t: pa.Table) -> pa.Table:
-        x = _matrix(t["_v"].combine_chunks(), t["_size"][0].as_py())
+        x = _unit(_matrix(t["_v"].combine_chunks(), t["_size"][0].as_py()))
         k = max(2, min(PARTS, -(-t["_n"][0].as_py() // cell_rows), len(x) // 4))
         centroids = spherical_kmeans(x, k) if len(x) > 1 else x
         own, visits = _parts(x, centroids, chord)
-        home = np.bincount(own, minlength=len(centroids))
+        lives = t["_guest"].to_numpy() == 0  # guests of an earlier division are compared with these only
+        home = np.bincount(own[lives], minlength=len(centroids))
         guests = visits.sum(axis=0)
         scale = t["_n"][0].as_py() / len(x)  # of the cell to its sample
-        cost = (home * (home + guests)).sum() * scale**2 + copy_cost * guests.sum() * scale
-        gains = cost <= GAIN * (len(x) * scale) ** 2
+        cost = (home * (np.bincount(own, minlength=len(centroids)) + guests)).sum() * scale**2 + copy_cost * guests.sum() * scale
+        gains = cost <= GAIN * lives.sum() * len(x) * scale**2
         found = centroids.ravel() if gains else np.empty(0)
         return t.select(_CELL).slice(0, 1).append_column("_c", pa.array([found], pa.list_(pa.float64())))
 
-    fitted = landed(drawn.select(*_CELL, "_n", "_v").groupBy(*_CELL).applyInArrow(fit, f"{cell}, _c array<double>"), "centroids")
+    fitted = landed(drawn.select(*_CELL, "_n", "_guest", "_v").groupBy(*_CELL).applyInArrow(fit, f"{cell}, _c array<double>"), "centroids")
     pieces = F.ceil(F.col("_n") / PIECE)
     dealt = rows.withColumn("_piece", F.pmod(F.xxhash64(F.lit("piece"), "_first"), pieces)).drop("_n")
     copied = fitted.join(large, _CELL).select(*_CELL, "_c", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("_piece"))
@@ -117,7 +129,7 @@ def _divided(placed: DataFrame, level: int, chord: float, sample: int, cell_rows
         if not len(t) or not len(flat):  # stays as it is from now on
             return t.set_column(names.index("_whole"), "_whole", pa.array(np.ones(len(t), bool)))
         size = t["_size"][0].as_py()
-        own, visits = _parts(_matrix(t["_v"].combine_chunks(), size), flat.reshape(-1, size), chord)
+        own, visits = _parts(_unit(_matrix(t["_v"].combine_chunks(), size)), flat.reshape(-1, size), chord)
         row, part = np.nonzero(visits)
         row, part = np.r_[np.arange(len(own)), row], np.r_[own, part]
         guest = t["_guest"].to_numpy()[row] | np.where(np.arange(len(row)) < len(own), 0, 1 << level)
@@ -130,6 +142,10 @@ def _divided(placed: DataFrame, level: int, chord: float, sample: int, cell_rows
     return landed(placed.join(large, _CELL, "left_anti").select(*names).unionByName(moved), "cells")
 
 
+def _tiles(rows: np.ndarray) -> list[np.ndarray]:
+    return [rows[i : i + TILE] for i in range(0, len(rows), TILE)]
+
+
 def _compared(placed: DataFrame, cosine: float) -> DataFrame:
     """Vectors with links in some pair of blocks: how many there, and the smallest vector reachable there."""
     classes = placed.groupBy(*_CELL, "_guest").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
@@ -146,20 +162,16 @@ def _compared(placed: DataFrame, cosine: float) -> DataFrame:
         *_CELL, F.least("_b", "_o").alias("_x"), F.greatest("_b", "_o").alias("_y"), (F.col("_b") <= F.col("_o")).alias("_left"), "_first", "_copies", "_v"
     )
 
-    def compare(t: pa.Table) -> pa.Table:
-        ids, copies = t["_first"].to_numpy(), t["_copies"].to_numpy()
-        x = _matrix(t["_v"].combine_chunks(), t["_size"][0].as_py())
-        if t["_x"][0] == t["_y"][0]:
-            near = x @ x.T >= cosine
+    def tile(x: np.ndarray, ids: np.ndarray, copies: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Rows ``a`` against rows ``b``, or a tile with itself where these are the same."""
+        near = x[a] @ x[b].T >= cosine
+        if a is b:
             np.fill_diagonal(near, False)
-            at = np.flatnonzero(near.any(axis=1))
-            near = near[np.ix_(at, at)]
+            some = near.any(axis=1)
+            at, near = a[some], near[np.ix_(some, some)]
         else:
-            left = t["_left"].to_numpy()
-            a, b = np.flatnonzero(left), np.flatnonzero(~left)
-            across = x[a] @ x[b].T >= cosine
-            rows, columns = across.any(axis=1), across.any(axis=0)
-            across = across[np.ix_(rows, columns)]
+            rows, columns = near.any(axis=1), near.any(axis=0)
+            across = near[np.ix_(rows, columns)]
             at = np.r_[a[rows], b[columns]]
             near = np.zeros((len(at), len(at)), bool)
             near[: len(across), len(across) :] = across
@@ -167,12 +179,25 @@ def _compared(placed: DataFrame, cosine: float) -> DataFrame:
         ids, copies = ids[at], copies[at]
         links = near @ copies if len(at) else np.empty(0, np.int64)
         low = ids.copy()
-        while len(at):  # smallest id reachable inside the block
+        while len(at):  # smallest id reachable inside the tile
             new = np.minimum(low, np.where(near, low[None, :], np.iinfo(np.int64).max).min(axis=1))
             if (new == low).all():
                 break
             low = new
-        return pa.table({"_first": pa.array(ids), "_links": pa.array(links.astype(np.int64)), "_low": pa.array(low)})
+        return ids, links.astype(np.int64), low
+
+    def compare(t: pa.Table) -> pa.Table:
+        ids, copies = t["_first"].to_numpy(), t["_copies"].to_numpy()
+        x = _unit(_matrix(t["_v"].combine_chunks(), t["_size"][0].as_py()))
+        left = t["_left"].to_numpy()
+        if t["_x"][0] == t["_y"][0]:
+            tiles = _tiles(np.arange(len(x)))
+            pairs = [(a, b) for i, a in enumerate(tiles) for b in tiles[i:]]
+        else:
+            pairs = [(a, b) for a in _tiles(np.flatnonzero(left)) for b in _tiles(np.flatnonzero(~left))]
+        found = [tile(x, ids, copies, a, b) for a, b in pairs]
+        columns = [np.concatenate(c) if c else np.empty(0, np.int64) for c in zip(*found, strict=True)] or [np.empty(0, np.int64)] * 3
+        return pa.table({n: pa.array(c) for n, c in zip(("_first", "_links", "_low"), columns, strict=True)})
 
     found = dealt.groupBy(*_CELL, "_x", "_y").applyInArrow(compare, "_first long, _links long, _low long")
     return landed(found, "vector-links")
@@ -198,31 +223,21 @@ def near_vectors(
     vectors of the cell, all vectors are indexed. Rows with a null key are left out; repeated keys count once, with
     the largest vector. Other columns are left aside; an empty table gives an empty result.
     """
-    read = vectors.select(F.col(key).cast("long").alias("_id"), F.col(label).alias("_label"), F.col(vector).cast("array<double>").alias("_v")).where("_id is not null")
+    # Single precision is exact for itself; all else is taken in double precision.
+    kind = "float" if dict(vectors.dtypes)[vector] == "array<float>" else "double"
+    read = vectors.select(F.col(key).cast("long").alias("_id"), F.col(label).alias("_label"), F.col(vector).cast(f"array<{kind}>").alias("_v")).where("_id is not null")
     read = read.groupBy("_id").agg(F.max_by(F.struct("_label", "_v"), F.struct("_label", "_v")).alias("x")).select("_id", "x.*")
     odd = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sound = F.col("_label").isNotNull() & (F.size("_v") > 0) & ~odd & F.exists("_v", lambda x: x != 0)
     read = landed(read.withColumn("_sound", F.coalesce(sound, F.lit(False))), "vectors")
     # Equal vectors are folded: they link by themselves and are compared once.
-    plain = F.transform("_v", lambda x: x + F.lit(0.0))
+    plain = F.transform("_v", lambda x: x + F.lit(0.0).cast(kind))
     good = read.where("_sound").select("_id", "_label", plain.alias("_v"))
     folded = landed(good.groupBy("_label", "_v").agg(F.min("_id").alias("_first"), F.count("*").alias("_copies")), "distinct-vectors")
     chord = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-9
 
-    def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sizes = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
-            for size in np.unique(sizes):
-                part = b.take(pa.array(np.flatnonzero(sizes == size)))
-                x = _unit(_matrix(part.column(2), int(size)))
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, size), pa.int32()), pa.array(x.ravel()))
-                n = pa.array(np.full(len(x), size, np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), flat, part.column(3), n], ["_first", "_label", "_v", "_copies", "_size"])
-
-    kind = read.schema["_label"].dataType.simpleString()
-    placed = folded.select("_first", "_label", "_v", "_copies").mapInArrow(unit, f"_first long, _label {kind}, _v array<double>, _copies long, _size int")
+    placed = folded.select("_first", "_label", "_v", "_copies", F.size("_v").alias("_size"))
     placed = placed.withColumns({"_cell": F.lit(""), "_guest": F.lit(0).cast("long"), "_whole": F.lit(False)})
-    placed = landed(placed, "cells")
     for level in range(LEVELS):
         more = _divided(placed, level, chord, sample, cell_rows, divided_above, copy_cost)
         if more is None:
@@ -234,7 +249,8 @@ def near_vectors(
     member = landed(member.join(links, "_first", "left"), "members")
     edges = member.where("_id <> _first").select(F.col("_id").alias("a"), F.col("_first").alias("b"))
     edges = edges.unionByName(found.where("_first <> _low").select(F.col("_first").alias("a"), F.col("_low").alias("b")))
-    groups = components(edges)
+    with shuffles_freed(vectors.sparkSession):
+        groups = components(edges)
     out = read.select("_id").join(member.select("_id", "_copies", "_links"), "_id", "left").join(groups, F.col("_id") == F.col("node"), "left")
     component = F.coalesce("component", "_id")
     n_links = F.coalesce(F.col("_copies") - 1, F.lit(0)) + F.coalesce("_links", F.lit(0))

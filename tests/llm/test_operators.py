@@ -583,3 +583,25 @@ def test_rates_of_labels_are_out_of_fold(spark):
     for out_of_fold, rates in ((True, 1), (False, 2)):
         seen = urls._featured(urls._lexical(known, F.col("url")), model, out_of_fold).agg(F.countDistinct(F.round("_suffix_block_rate", 9))).first()[0]
         assert seen == rates
+
+
+def test_vectors_are_copied_once_a_block(spark, monkeypatch):
+    """3,000 vectors without structure are one block, moved and kept in single precision, compared by tiles."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 24))
+    x = np.concatenate([x, x + 0.02 * rng.normal(size=x.shape)]).astype(np.float32)
+    seen, write = [], embeddings.common.landed
+    monkeypatch.setattr(embeddings.common, "landed", lambda df, purpose: seen.append((purpose, df.schema)) or write(df, purpose))
+    monkeypatch.setattr(embeddings, "TILE", 700)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(3)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(frame).collect()}
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    np.fill_diagonal(near, False)
+    low = np.arange(len(x))
+    for _ in range(20):
+        low = np.minimum(low, np.where(near, low[None, :], len(x)).min(axis=1))
+    assert near.sum() > 2000 and found == {i: (near[i].sum(), low[i]) for i in range(len(x))}
+    assert "cells" not in [p for p, _ in seen]
+    kinds = {s["_v"].dataType.elementType.simpleString() for _, s in seen if "_v" in s.names}
+    assert kinds == {"float"}
